@@ -86,11 +86,7 @@ def salted_join(
         .join(hot, F.col("_key") == F.col("_hot"), "left")
         .withColumn(
             "_salt",
-            F.explode(
-                F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(share - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ).cast("long"),
+            F.explode(F.expr(f"sequence(0L, if(_hot IS NULL, 0L, {share - 1}L))")),
         )
         .drop("_key", "_hot")
     )

@@ -256,3 +256,122 @@ CATALOGUE: dict[str, str] = {
         " WHERE filters = 'PASS' AND a_impact = 'LOW' AND a_consequence LIKE '%missense%' GROUP BY 1"
     ),
 }
+
+_JOIN_ROWS = over_joined(
+    "SELECT sample_name, contig, pos_start, ref, alt, genotype, a_gene, a_impact FROM joined"
+)
+
+_LOCI_OF = """
+SELECT * EXCLUDE (rn) FROM (SELECT v.contig AS chrom, v.pos_start AS pos, v.ref, v.alt, v.vep_gene AS gene,
+ v.vep_symbol AS symbol, v.vep_consequence AS consequence, v.vep_impact AS impact, v.gnomad_af, v.gnomad_af_popmax,
+ v.pathogenecity, ROW_NUMBER() OVER (PARTITION BY contig, pos_start, ref, alt ORDER BY {order}) AS rn
+ FROM fx_variants v WHERE {where}) WHERE rn = 1"""
+
+_SECOND = "CAST(split_part(allele_depth, ',', 1) AS INT) < 46"
+
+_WINDOW = "ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-10 00:00:00'"
+_MINUTES = f"""
+SELECT resource, worker_type, capacity_type, date_trunc('minute', ts) AS minute, avg(value) AS value
+FROM fx_usage WHERE {_WINDOW} GROUP BY ALL"""
+_HOURS = """
+SELECT resource, worker_type, capacity_type, sum(value) * (60.0::DOUBLE / 3600) AS unit_hours
+FROM minutes GROUP BY ALL"""
+
+_MANIFEST = """SELECT CAST(ordinal AS BIGINT) AS ordinal, path FROM (
+ SELECT ROW_NUMBER() OVER (ORDER BY s_suppkey) - 1 AS ordinal,
+ concat('s3://cohort/S', CAST(s_suppkey AS VARCHAR), '.zip') AS path FROM supplier)"""
+
+OPERATORS: dict[str, str] = {
+    "scan_variants": _variant_rows("TRUE"),
+    "normalise_variants": _variant_rows("TRUE"),
+    "extract_annotations": over_views("SELECT * FROM fx_annotations"),
+    "merge_files": _variant_rows("data_type IN ('real', 'synthetic')"),
+    "rare_filter": _variant_rows(RARE),
+    "quality_filter": _variant_rows(CALLED),
+    "manifest_slice": f"{_MANIFEST} WHERE ordinal BETWEEN 2 AND 7",
+    "manifest_paths": _MANIFEST,
+    "archive_members": over_views("SELECT contig, pos_start, ref, alt, genotype FROM fx_variants"),
+    "vcf_parse_variants": _variant_rows("TRUE"),
+    "vcf_parse_cnv": over_views("SELECT * FROM fx_cnv"),
+    "tpm_csv_normalise": over_views("SELECT * FROM fx_tpm"),
+    "locus_join": _JOIN_ROWS,
+    "join_broadcast": _JOIN_ROWS,
+    "join_shuffled": _JOIN_ROWS,
+    "join_salted": _JOIN_ROWS,
+    "cohort_carriers_two_phase": over_views(
+        "SELECT vep_symbol AS gene,"
+        " count(DISTINCT CASE WHEN data_source = 'ICGC-ARGO' THEN sample_name END) AS icgc_carriers,"
+        " count(DISTINCT CASE WHEN data_source LIKE '%TCGA%' THEN sample_name END) AS tcga_carriers,"
+        " count(DISTINCT CASE WHEN data_type = 'real' THEN sample_name END) AS real_carriers"
+        " FROM fx_variants GROUP BY 1"
+    ),
+    "dedup_rank": over_views("SELECT * FROM fx_dedup"),
+    "dedup_rank_nulls_first": over_views(_LOCI_OF.format(order="vep_gene ASC NULLS FIRST", where="TRUE")),
+    "dedup_minby": over_views("SELECT * FROM fx_dedup"),
+    "dedup_first": over_views(
+        _LOCI_OF.format(order="sample_name, l_orderkey, l_linenumber", where="TRUE")
+    ),
+    "dedup_rank_insert": over_views("SELECT * FROM fx_dedup"),
+    "annotations_new_only": over_views(
+        "SELECT e.* FROM second e WHERE NOT EXISTS (SELECT 1 FROM fx_variants v WHERE NOT ("
+        + _SECOND
+        + ") AND (v.contig, v.pos_start, v.ref, v.alt) = (e.chrom, e.pos, e.ref, e.alt))",
+        second=_LOCI_OF.format(order="vep_gene ASC NULLS LAST", where=_SECOND),
+    ),
+    "layout_keys": over_views(
+        "SELECT sample_name, contig, pos_start, contig AS contig_part,"
+        " CAST(floor(pos_start / 5000000.0) * 5000000 AS INT) AS pos_trunc,"
+        " CAST(floor(pos_start / 50000000.0) * 50000000 AS INT) AS pos_trunc_by_sample,"
+        " CAST(floor(-pos_start / 5000000.0) * 5000000 AS INT) AS pos_trunc_negative FROM fx_variants"
+    ),
+    "layout_bucket_rows": over_views(
+        "SELECT CAST(1 AS BIGINT) AS buckets, count(DISTINCT sample_name) AS samples,"
+        " count(*) AS variant_rows, CAST(1 AS INT) AS in_range FROM fx_variants"
+    ),
+    "write_read_variants": _variant_rows("TRUE"),
+    "write_read_by_sample": over_views(
+        "SELECT * EXCLUDE (l_orderkey, l_linenumber, data_source, data_type) FROM fx_variants"
+    ),
+    "write_read_tpm": over_views("SELECT * FROM fx_tpm"),
+    "write_read_cnv": over_views("SELECT * FROM fx_cnv"),
+    "region_pruned": _variant_rows("contig = 'chr7' AND pos_start BETWEEN 100000000 AND 200000000"),
+    "sample_pruned": _variant_rows("sample_name IN ('S1', 'S2')"),
+    "sorted_check": over_views(
+        "SELECT count(*) AS checked_rows, CAST(0 AS BIGINT) AS violations FROM fx_variants"
+    ),
+    "ingest_batches": over_views(
+        "SELECT sample_name, count(*) AS variant_rows, CAST(sum(read_depth) AS BIGINT) AS depth FROM fx_variants GROUP BY 1"
+    ),
+    "fanout_counts": over_views(
+        "SELECT 'variants' AS name, count(*) AS n FROM fx_variants"
+        " UNION ALL SELECT 'variants_by_sample', count(*) FROM fx_variants"
+        " UNION ALL SELECT 'annotations', count(*) FROM fx_dedup"
+    ),
+    "ingest_cnv": over_views("SELECT * FROM fx_cnv"),
+    "usage_minutes": over_views(
+        "SELECT resource, worker_type, capacity_type, minute, round(value, 4) AS value FROM minutes",
+        minutes=_MINUTES,
+    ),
+    "usage_unit_hours": over_views(
+        "SELECT resource, worker_type, capacity_type, round(unit_hours, 4) AS unit_hours FROM hours",
+        minutes=_MINUTES,
+        hours=_HOURS,
+    ),
+    "usage_rollup": over_views(
+        "SELECT 'series' AS level, resource, worker_type, capacity_type, round(unit_hours, 4) AS unit_hours"
+        " FROM hours WHERE unit_hours > 0"
+        " UNION ALL SELECT 'resource', resource, NULL, NULL, round(sum(unit_hours), 4) FROM hours GROUP BY resource"
+        " UNION ALL SELECT 'total', NULL, NULL, NULL, round(sum(unit_hours), 4) FROM hours",
+        minutes=_MINUTES,
+        hours=_HOURS,
+    ),
+    "usage_cost": over_views(
+        "SELECT resource, round(used, 4) AS unit_hours, rate, round(used * rate, 4) AS cost FROM priced"
+        " UNION ALL SELECT 'TOTAL', NULL, NULL, round(sum(used * rate), 4) FROM priced",
+        minutes=_MINUTES,
+        hours=_HOURS,
+        priced="""SELECT c.resource, coalesce(h.used, 0) AS used, c.rate
+FROM (VALUES ('vcpu', 0.0520::DOUBLE), ('mem', 0.00571::DOUBLE), ('storage', 0.000111::DOUBLE)) c(resource, rate)
+LEFT JOIN (SELECT resource, sum(unit_hours) AS used FROM hours GROUP BY 1) h USING (resource)""",
+    ),
+}

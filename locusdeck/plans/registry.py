@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from locusdeck.plans import catalogue, oracle
+from locusdeck.plans import catalogue, operator_queries, oracle
 
-QUERIES = {**catalogue.QUERIES}
-ORACLE = {**oracle.CATALOGUE}
+QUERIES = {**catalogue.QUERIES, **operator_queries.QUERIES}
+ORACLE = {**oracle.CATALOGUE, **oracle.OPERATORS}
