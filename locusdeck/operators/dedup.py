@@ -28,16 +28,18 @@ def by_rank(
     order: Sequence[str] = ("gene",),
     keys: Sequence[str] = ANNOTATION_LOCUS,
     nulls: str = "last",
+    copies: bool = True,
 ) -> DataFrame:
     """First row per key by window rank.
 
-    Copies of whole rows go first, by hash aggregation. Spark then limits each key to one
-    row per map task before the exchange, because only rank 1 is asked for.
+    Copies of whole rows go first, by hash aggregation; ``copies=False`` says there are hardly
+    any. Spark then limits each key to one row per map task before the exchange, because
+    only rank 1 is asked for.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     window = Window.partitionBy(*keys).orderBy(*_ordering([*order, *rest], nulls))
     return (
-        df.distinct()
+        (df.distinct() if copies else df)
         .withColumn("_rank", F.row_number().over(window))
         .filter("_rank = 1")
         .drop("_rank")
@@ -50,7 +52,7 @@ def by_minimum(
     keys: Sequence[str] = ANNOTATION_LOCUS,
     nulls: str = "last",
 ) -> DataFrame:
-    """The same rows by a minimum over a struct, which aggregates partially."""
+    """The same rows by a minimum over a struct: one exchange, at the price of a local sort."""
     rest = [c for c in df.columns if c not in keys and c not in order]
     if nulls not in ("first", "last"):
         raise ValueError("nulls is 'first' or 'last'")
@@ -60,7 +62,7 @@ def by_minimum(
         if nulls == "last":
             fields.append(F.col(name).isNull().alias(f"_null_{name}"))
         fields.append(F.col(name).alias(name))
-    least = df.distinct().groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_least"))
+    least = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_least"))
     return least.select(*[c if c in keys else F.col(f"_least.{c}").alias(c) for c in df.columns])
 
 

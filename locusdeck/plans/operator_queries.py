@@ -127,15 +127,23 @@ def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _written_lines(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """Text lines as a table in the shared folder, as a reader would find them."""
+    path = new_folder(spark, "vcf-lines")
+    lines.write.parquet(path)
+    return spark.read.schema("file_path string, value string").parquet(path)
+
+
 def vcf_parse_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VCF lines of all samples; every other file names its sample by its file name only."""
     records = render.variant_records(views.variants(spark, sf_dir))
     named = F.substring("sample", 2, 30).cast("long") % 2 == 0
-    return shown(parse_variants(render.as_lines(records, named)))
+    return shown(parse_variants(_written_lines(spark, render.as_lines(records, named))))
 
 
 def vcf_parse_cnv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_cnv(render.as_lines(render.cnv_records(views.cnv(spark, sf_dir))))
+    records = render.cnv_records(views.cnv(spark, sf_dir))
+    return parse_cnv(_written_lines(spark, render.as_lines(records)))
 
 
 def tpm_csv_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +203,7 @@ def dedup_rank_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "annotations_dedup")
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     create_table(spark, spec, name, location=path)
-    insert_into(dedup.by_rank(views.distinct_annotations(spark, sf_dir)), spec, name)
+    insert_into(dedup.by_rank(views.distinct_annotations(spark, sf_dir), copies=False), spec, name)
     return catalog_table(spark, name, spec)
 
 
@@ -285,6 +293,17 @@ def sorted_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- ingestion -------------------------------------------------------------------------------
 
 
+COHORT = 100
+
+
+def _cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants of COHORT samples, so that the number of files follows the number of rows."""
+    number = F.substring("sample_name", 2, 30).cast("long") % COHORT
+    return views.variants(spark, sf_dir).withColumn(
+        "sample_name", F.concat(F.lit("S"), number.cast("string"))
+    )
+
+
 def _ingested(spark: SparkSession, sf_dir: str, tables: list[str], files_per_batch: int) -> dict:
     """Render VCF files per sample, ingest the folder, and give the stored tables."""
     base = new_folder(spark, "ingest")
@@ -292,7 +311,7 @@ def _ingested(spark: SparkSession, sf_dir: str, tables: list[str], files_per_bat
         render.write_files(render.cnv_records(views.cnv(spark, sf_dir)), f"{base}/files")
         source = "orders"
     else:
-        render.write_files(render.variant_records(views.variants(spark, sf_dir)), f"{base}/files")
+        render.write_files(render.variant_records(_cohort(spark, sf_dir)), f"{base}/files")
         source = "lineitem"
     specs = {
         name: _fitted(spark, sf_dir, TABLES[name], source) for name in tables
@@ -311,8 +330,9 @@ def _ingested(spark: SparkSession, sf_dir: str, tables: list[str], files_per_bat
 
 
 def _files_per_batch(spark: SparkSession, sf_dir: str, batches: int) -> int:
-    """A batch size that cuts the samples into a few batches."""
-    return max(1, views.source(spark, sf_dir, "supplier").count() // batches)
+    """A batch size that cuts the rendered files into a few batches."""
+    rows = views.source(spark, sf_dir, "lineitem").count()
+    return max(1, (COHORT + rows // render.ROWS_PER_FILE) // batches)
 
 
 def ingest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -340,7 +340,8 @@ OPERATORS: dict[str, str] = {
         "SELECT count(*) AS checked_rows, CAST(0 AS BIGINT) AS violations FROM fx_variants"
     ),
     "ingest_batches": over_views(
-        "SELECT sample_name, count(*) AS variant_rows, CAST(sum(read_depth) AS BIGINT) AS depth FROM fx_variants GROUP BY 1"
+        "SELECT concat('S', CAST(CAST(substr(sample_name, 2) AS BIGINT) % 100 AS VARCHAR)) AS sample_name,"
+        " count(*) AS variant_rows, CAST(sum(read_depth) AS BIGINT) AS depth FROM fx_variants GROUP BY 1"
     ),
     "fanout_counts": over_views(
         "SELECT 'variants' AS name, count(*) AS n FROM fx_variants"

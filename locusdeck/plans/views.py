@@ -157,7 +157,7 @@ def stored_annotations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Tab
         loci = source(spark, sf_dir, "part").count()
         spec = ANNOTATIONS_DEDUP_TABLE.fitted(loci * 60)
         path = new_folder(spark, "annotations_dedup")
-        write_table(dedup.by_rank(distinct_annotations(spark, sf_dir)), spec, path)
+        write_table(dedup.by_rank(distinct_annotations(spark, sf_dir), copies=False), spec, path)
         _stored[key] = path, spec
     path, spec = _stored[key]
     return read_table(spark, path, spec), spec
