@@ -19,7 +19,9 @@ SHUFFLE_TO_FILE = 3
 
 
 def _bloom_options(spec: TableSpec) -> dict[str, str]:
-    return {f"parquet.bloom.filter.enabled#{name}": "true" for name in spec.bloom}
+    """Bloom filters per column, each as large as its row group's distinct values ask for."""
+    options = {f"parquet.bloom.filter.enabled#{name}": "true" for name in spec.bloom}
+    return options | ({"parquet.bloom.filter.adaptive.enabled": "true"} if options else {})
 
 
 def laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
