@@ -20,7 +20,7 @@ PERIOD_SECONDS = 60
 
 SERIES = ("resource", "worker_type", "capacity_type")
 # Floating-point sums depend on the order of addition; results are reported to this precision.
-DIGITS = 4
+DIGITS = 6
 
 
 def minutes(metrics: DataFrame, start: datetime, end: datetime) -> DataFrame:

@@ -350,25 +350,25 @@ OPERATORS: dict[str, str] = {
     ),
     "ingest_cnv": over_views("SELECT * FROM fx_cnv"),
     "usage_minutes": over_views(
-        "SELECT resource, worker_type, capacity_type, minute, round(value, 4) AS value FROM minutes",
+        "SELECT resource, worker_type, capacity_type, minute, round(value, 6) AS value FROM minutes",
         minutes=_MINUTES,
     ),
     "usage_unit_hours": over_views(
-        "SELECT resource, worker_type, capacity_type, round(unit_hours, 4) AS unit_hours FROM hours",
+        "SELECT resource, worker_type, capacity_type, round(unit_hours, 6) AS unit_hours FROM hours",
         minutes=_MINUTES,
         hours=_HOURS,
     ),
     "usage_rollup": over_views(
-        "SELECT 'series' AS level, resource, worker_type, capacity_type, round(unit_hours, 4) AS unit_hours"
+        "SELECT 'series' AS level, resource, worker_type, capacity_type, round(unit_hours, 6) AS unit_hours"
         " FROM hours WHERE unit_hours > 0"
-        " UNION ALL SELECT 'resource', resource, NULL, NULL, round(sum(unit_hours), 4) FROM hours GROUP BY resource"
-        " UNION ALL SELECT 'total', NULL, NULL, NULL, round(sum(unit_hours), 4) FROM hours",
+        " UNION ALL SELECT 'resource', resource, NULL, NULL, round(sum(unit_hours), 6) FROM hours GROUP BY resource"
+        " UNION ALL SELECT 'total', NULL, NULL, NULL, round(sum(unit_hours), 6) FROM hours",
         minutes=_MINUTES,
         hours=_HOURS,
     ),
     "usage_cost": over_views(
-        "SELECT resource, round(used, 4) AS unit_hours, rate, round(used * rate, 4) AS cost FROM priced"
-        " UNION ALL SELECT 'TOTAL', NULL, NULL, round(sum(used * rate), 4) FROM priced",
+        "SELECT resource, round(used, 6) AS unit_hours, rate, round(used * rate, 6) AS cost FROM priced"
+        " UNION ALL SELECT 'TOTAL', NULL, NULL, round(sum(used * rate), 6) FROM priced",
         minutes=_MINUTES,
         hours=_HOURS,
         priced="""SELECT c.resource, coalesce(h.used, 0) AS used, c.rate
