@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 
 def floor_minute(ts: Column) -> Column:
-    return F.date_trunc("minute", ts)
+    """The minute's start, of the same timestamp type and independent of the session's zone."""
+    seconds = F.date_part(F.lit("SECOND"), ts)
+    return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def ceil_minute(ts: Column) -> Column:

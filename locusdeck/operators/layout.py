@@ -100,8 +100,14 @@ def create_table(
     spark.sql(create_table_sql(spec, name, using, location))
 
 
-def insert_into(df: DataFrame, spec: TableSpec, name: str) -> None:
-    """Append to a table made by ``create_table``."""
+def insert_into(df: DataFrame, spec: TableSpec, name: str, using: str = "parquet") -> None:
+    """Append to a table made by ``create_table``.
+
+    A table format with hidden partitioning distributes the rows itself.
+    """
+    if using == "iceberg":
+        to_schema(df, spec.schema).writeTo(name).append()
+        return
     piece = str(spec.target_file_bytes * SHUFFLE_TO_FILE)
     changed = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": piece,

@@ -23,10 +23,9 @@ SERIES = ("resource", "worker_type", "capacity_type")
 DIGITS = 6
 
 
-def minutes(metrics: DataFrame, start: datetime, end: datetime) -> DataFrame:
+def minutes(metrics: DataFrame, start: datetime | str, end: datetime | str) -> DataFrame:
     """Average value per series and minute inside the window."""
-    kind = metrics.schema["ts"].dataType
-    minute = floor_minute(F.col("ts")).cast(kind).alias("minute")
+    minute = floor_minute(F.col("ts")).alias("minute")
     return (
         between(billed(metrics), start, end)
         .groupBy(*SERIES, minute)
@@ -66,10 +65,8 @@ def cost(per_minute: DataFrame, region: str) -> DataFrame:
     if region not in RATES:
         raise ValueError(f"no rates for region {region!r}")
     spark = per_minute.sparkSession
-    card = spark.createDataFrame(
-        [(resource, float(rate)) for resource, rate in RATES[region].items()],
-        "resource string, rate double",
-    )
+    listed = ", ".join(f"('{resource}', {rate}D)" for resource, rate in RATES[region].items())
+    card = spark.sql(f"SELECT * FROM VALUES {listed} AS card(resource, rate)")
     used = _unit_hours(per_minute).groupBy("resource").agg(F.sum("unit_hours").alias("unit_hours"))
     priced = card.join(used, "resource", "left").select(
         "resource", F.coalesce("unit_hours", F.lit(0.0)).alias("unit_hours"), "rate"

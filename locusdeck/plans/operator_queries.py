@@ -130,7 +130,8 @@ def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _written_lines(spark: SparkSession, lines: DataFrame) -> DataFrame:
     """Text lines as a table in the shared folder, as a reader would find them."""
     path = new_folder(spark, "vcf-lines")
-    lines.write.parquet(path)
+    # Small row groups let several tasks share a file when there are few files.
+    lines.write.option("parquet.block.size", 16 * 1024 * 1024).parquet(path)
     return spark.read.schema("file_path string, value string").parquet(path)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from locusdeck.functions.minutes import ceil_minute, floor_minute
+from locusdeck.functions.minutes import ceil_minute, floor_minute, parse_utc
 
 # --- fixed values: the series that are billed ---
 RESOURCES = ("vcpu", "mem", "storage")
@@ -30,13 +30,17 @@ def billed(metrics: DataFrame) -> DataFrame:
     )
 
 
-def between(metrics: DataFrame, start: datetime, end: datetime) -> DataFrame:
+def _utc(time: datetime | str) -> datetime:
+    return parse_utc(time) if isinstance(time, str) else time
+
+
+def between(metrics: DataFrame, start: datetime | str, end: datetime | str) -> DataFrame:
     """Points of [floor(start), ceil(end)), both given in UTC and widened to full minutes.
 
     The bounds are literals of the column's own type, so the range reaches the file scan.
     """
     kind = metrics.schema["ts"].dataType
     zone = "" if isinstance(kind, T.TimestampNTZType) else "Z"
-    low = floor_minute(F.lit(start.isoformat(" ") + zone).cast(kind)).cast(kind)
-    high = ceil_minute(F.lit(end.isoformat(" ") + zone).cast(kind)).cast(kind)
+    low = floor_minute(F.lit(_utc(start).isoformat(" ") + zone).cast(kind))
+    high = ceil_minute(F.lit(_utc(end).isoformat(" ") + zone).cast(kind))
     return metrics.filter((F.col("ts") >= low) & (F.col("ts") < high))
