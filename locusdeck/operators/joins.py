@@ -20,6 +20,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Per value, for the row format and the hash table around the payload.
 VALUE_OVERHEAD = 16
 MOST_HOT_KEYS = 1_000
+# Hashing more columns costs more than it spreads.
+SALT_COLUMNS = 4
 
 STRATEGIES = ("auto", "broadcast", "shuffle", "salt")
 
@@ -42,7 +44,7 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= limit
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: int) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], share: int) -> list[int]:
     """Hashes of keys that hold at least one ``share``-th of all rows.
 
     A frequent-items sketch finds them in one pass without a shuffle by key. There are at
@@ -53,10 +55,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int) -> DataFrame:
     sketch = df.select(F.xxhash64(*keys).alias("_key")).agg(
         F.expr(f"approx_top_k(_key, {top}, {20 * top})").alias("_top"), F.count("*").alias("_rows")
     )
-    found = sketch.select(F.explode("_top").alias("_item"), "_rows")
-    return found.filter(F.col("_item.count") * share >= F.col("_rows")).select(
-        F.col("_item.item").alias("_hot")
+    found = sketch.select(F.explode("_top").alias("_item"), "_rows").filter(
+        F.col("_item.count") * share >= F.col("_rows")
     )
+    return [row[0] for row in found.select("_item.item").collect()]
 
 
 def salted_join(
@@ -64,33 +66,25 @@ def salted_join(
 ) -> DataFrame:
     """Inner join on ``keys`` that spreads hot keys of the fact side over ``share`` tasks.
 
-    Fact rows of a hot key get a salt from a hash of their other columns, so a retried task
+    Fact rows of a hot key get a salt from a hash of some other columns, so a retried task
     makes the same choice; the few dimension rows of hot keys are repeated once per salt.
-    All other rows take salt 0. No row is lost or doubled for any choice of hot keys.
+    All other rows take salt 0. No row is lost or doubled for any choice of hot keys, as long
+    as both sides use the same: they are found once and then stand in the plan as literals.
     """
-    spark = fact.sparkSession
-    share = share or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(fact.dropna(subset=list(keys)), keys, share))
-    spread = [c for c in fact.columns if c not in keys] or list(keys)
-    salted_fact = (
-        fact.withColumn("_key", F.xxhash64(*keys))
-        .join(hot, F.col("_key") == F.col("_hot"), "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*spread), F.lit(share))).otherwise(0),
-        )
-        .drop("_key", "_hot")
+    share = share or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(fact.dropna(subset=list(keys)), keys, share)
+    if not hot:
+        return fact.join(dimension, list(keys))
+    is_hot = F.xxhash64(*keys).isin(hot)
+    spread = F.xxhash64(*([c for c in fact.columns if c not in keys][:SALT_COLUMNS] or keys))
+    salt = F.when(is_hot, F.pmod(spread, F.lit(share).cast("long"))).otherwise(F.lit(0).cast("long"))
+    last = F.when(is_hot, F.lit(share - 1).cast("long")).otherwise(F.lit(0).cast("long"))
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), last))
+    return (
+        fact.withColumn("_salt", salt)
+        .join(dimension.withColumn("_salt", copies), [*keys, "_salt"])
+        .drop("_salt")
     )
-    salted_dimension = (
-        dimension.withColumn("_key", F.xxhash64(*keys))
-        .join(hot, F.col("_key") == F.col("_hot"), "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.expr(f"sequence(0L, if(_hot IS NULL, 0L, {share - 1}L))")),
-        )
-        .drop("_key", "_hot")
-    )
-    return salted_fact.join(salted_dimension, [*keys, "_salt"]).drop("_salt")
 
 
 def join_dimension(
