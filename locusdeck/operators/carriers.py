@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from locusdeck.operators.joins import fits_broadcast, locus_join
+from locusdeck.schemas import LOCUS
+
 SAMPLE = "sample_name"
 
 
@@ -45,6 +48,26 @@ def cohort_carriers(
     return per_sample.groupBy(*groups).agg(*counted)
 
 
-def counted_by_locus(df: DataFrame, locus: Sequence[str], name: str = "variant_count") -> DataFrame:
-    """Rows per locus: what is left to join once the fact rows are counted first."""
-    return df.groupBy(*locus).agg(F.count("*").alias(name))
+def rows_by_annotation(
+    variants: DataFrame,
+    annotations: DataFrame,
+    group: str,
+    name: str,
+    count_first: bool | None = None,
+) -> DataFrame:
+    """Variant rows per value of an annotation column, over the locus join.
+
+    Counting per locus before the join leaves one row per locus to shuffle, however many rows
+    a locus has; it is right because a locus has one annotation. Where the annotations can be
+    broadcast there is no shuffle by locus to save, so rows are joined first. ``count_first``
+    overrides the choice.
+    """
+    if count_first is None:
+        count_first = not fits_broadcast(annotations)
+    if count_first:
+        variants = variants.groupBy(*LOCUS).agg(F.count("*").alias("_rows"))
+        total = F.sum("_rows")
+    else:
+        total = F.count("*")
+    joined = locus_join(variants, annotations, even=count_first)
+    return joined.groupBy(F.col(f"a_{group}").alias(group)).agg(total.alias(name))

@@ -23,10 +23,10 @@ from locusdeck.functions.predicates import (
     region,
     regions,
 )
-from locusdeck.operators.carriers import carriers, cohort_carriers, counted_by_locus
+from locusdeck.operators.carriers import carriers, cohort_carriers, rows_by_annotation
 from locusdeck.operators.joins import joined_counts, locus_join
 from locusdeck.plans import views
-from locusdeck.schemas import LOCUS, VARIANTS
+from locusdeck.schemas import VARIANTS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -241,17 +241,10 @@ def s4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined_counts(expressed, calls, ["sample_id", "gene_symbol"], "expression", "n")
 
 
-def _counts_by_annotation(calls: DataFrame, loci: DataFrame, group: str) -> DataFrame:
-    """Count per locus before the join; right because a locus has one annotation."""
-    joined = locus_join(counted_by_locus(calls, LOCUS), loci, even=True)
-    return joined.groupBy(F.col(f"a_{group}").alias(group)).agg(
-        F.sum("variant_count").alias("vus_count")
-    )
-
-
 def s5(spark: SparkSession, sf_dir: str) -> DataFrame:
     loci = _dimension(spark, sf_dir, None, "pathogenecity")
-    counts = _counts_by_annotation(views.variants(spark, sf_dir), loci, "pathogenecity")
+    calls = views.variants(spark, sf_dir)
+    counts = rows_by_annotation(calls, loci, "pathogenecity", "vus_count", count_first=True)
     return counts.orderBy(F.col("pathogenecity").asc_nulls_last())
 
 
@@ -264,7 +257,8 @@ def s6(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls = views.variants(spark, sf_dir).filter(
         (F.col("read_depth") >= 10) & ~F.col("genotype").isin(*NO_CALLS)
     )
-    counts = _counts_by_annotation(calls, _dimension(spark, sf_dir, where, "symbol"), "symbol")
+    loci = _dimension(spark, sf_dir, where, "symbol")
+    counts = rows_by_annotation(calls, loci, "symbol", "vus_count")
     return ranked(counts, "vus_count", "symbol")
 
 
@@ -351,14 +345,12 @@ def e1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def r1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Low-impact missense calls per gene."""
+    """Low-impact missense calls per gene, with the annotations broadcast if they are small."""
     where = (F.col("impact") == "LOW") & F.col("consequence").like("%missense%")
     loci = _dimension(spark, sf_dir, where, "symbol")
     calls = views.variants(spark, sf_dir).filter(F.col("filters") == "PASS")
-    joined = locus_join(calls, loci, "broadcast")
-    return joined.groupBy(F.col("a_symbol").alias("gene_symbol")).agg(
-        F.count("*").alias("num_non_silent")
-    )
+    counts = rows_by_annotation(calls, loci, "symbol", "num_non_silent")
+    return counts.withColumnRenamed("symbol", "gene_symbol")
 
 
 QUERIES: dict[str, Query] = {

@@ -10,7 +10,7 @@ from locusdeck.functions import minutes
 from locusdeck.functions.classes import cohort_group, pathogenicity_class
 from locusdeck.functions.predicates import f32, quality, rare
 from locusdeck.operators import dedup, joins, usage
-from locusdeck.operators.carriers import carriers, cohort_carriers
+from locusdeck.operators.carriers import carriers, cohort_carriers, rows_by_annotation
 from locusdeck.plans import views
 
 QUICK = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -188,6 +188,18 @@ def test_cohort_counts_equal_conditional_distinct_counts(spark, plan):
     assert "Expand" not in plan(found) and "Expand" in plan(direct)
 
 
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_counting_first_or_joining_first(spark, monkeypatch, limit):
+    monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (limit,))
+    variants = views.variants(spark, SF_DIR)
+    loci = dedup.by_rank(views.distinct_annotations(spark, SF_DIR)).select("chrom", "pos", "ref", "alt", "impact")
+    found = [
+        rows(rows_by_annotation(variants, loci, "impact", "n", first)) for first in (None, True, False)
+    ]
+    assert found[0] == found[1] == found[2]
+    assert sum(n for _, n in found[0]) == variants.count()
+
+
 def test_group_of_nameless_samples_stays(spark):
     df = spark.createDataFrame([("g", None, True)], "gene string, sample_name string, flag boolean")
     assert cohort_carriers(df, ["gene"], {"n": F.col("flag")}).collect()[0]["n"] == 0
