@@ -62,12 +62,13 @@ def rows_by_annotation(
     broadcast there is no shuffle by locus to save, so rows are joined first. ``count_first``
     overrides the choice.
     """
+    fits = fits_broadcast(annotations)
     if count_first is None:
-        count_first = not fits_broadcast(annotations)
+        count_first = not fits
     if count_first:
         variants = variants.groupBy(*LOCUS).agg(F.count("*").alias("_rows"))
         total = F.sum("_rows")
     else:
         total = F.count("*")
-    joined = locus_join(variants, annotations, even=count_first)
+    joined = locus_join(variants, annotations, even=count_first, fits=fits)
     return joined.groupBy(F.col(f"a_{group}").alias(group)).agg(total.alias(name))

@@ -94,16 +94,19 @@ def join_dimension(
     strategy: str = "auto",
     limit: int = BROADCAST_BYTES,
     even: bool = False,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Inner join on equally named ``keys`` under one of STRATEGIES.
 
     ``broadcast`` asks for a broadcast but keeps the bound: a dimension beyond it is shuffled.
-    ``even`` says that the fact side has one row per key, so nothing needs to be salted.
+    ``even`` says that the fact side has one row per key, so nothing needs to be salted;
+    ``fits`` is the outcome of ``fits_broadcast`` where the caller has asked already.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy is one of {STRATEGIES}")
-    if strategy in ("auto", "broadcast") and fits_broadcast(dimension, limit):
-        return fact.join(F.broadcast(dimension), list(keys))
+    if strategy in ("auto", "broadcast"):
+        if fits if fits is not None else fits_broadcast(dimension, limit):
+            return fact.join(F.broadcast(dimension), list(keys))
     if strategy == "shuffle" or (even and strategy != "salt"):
         return fact.join(dimension.hint("merge"), list(keys))
     return salted_join(fact, dimension, keys)
@@ -115,6 +118,7 @@ def locus_join(
     strategy: str = "auto",
     limit: int = BROADCAST_BYTES,
     even: bool = False,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Variants with the annotation of their locus; ``annotations`` has one row per locus.
 
@@ -125,7 +129,7 @@ def locus_join(
     dimension = annotations.select(
         *[F.col(c).alias(as_locus.get(c, f"a_{c}")) for c in annotations.columns]
     )
-    return join_dimension(variants, dimension, LOCUS, strategy, limit, even)
+    return join_dimension(variants, dimension, LOCUS, strategy, limit, even, fits)
 
 
 def joined_counts(

@@ -47,11 +47,13 @@ def _fitted(spark: SparkSession, sf_dir: str, spec: TableSpec, table: str) -> Ta
     return spec.fitted(rows * ROW_BYTES[spec.name])
 
 
-def stored_variants(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TableSpec]:
-    """Variants written in their layout, once per application and input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def stored_variants(
+    spark: SparkSession, sf_dir: str, declared: TableSpec = VARIANTS_TABLE
+) -> tuple[DataFrame, TableSpec]:
+    """Variants written in a layout, once per application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir, declared.name)
     if key not in _written:
-        spec = _fitted(spark, sf_dir, VARIANTS_TABLE, "lineitem")
+        spec = _fitted(spark, sf_dir, declared, "lineitem")
         path = new_folder(spark, spec.name)
         write_table(views.variants(spark, sf_dir), spec, path)
         _written[key] = path, spec
@@ -282,6 +284,18 @@ def sample_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(stored.filter(of_samples(["S1", "S2"], layout=layout)).select(*VARIANTS.names))
 
 
+def write_read_by_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, spec = stored_variants(spark, sf_dir, VARIANTS_BY_SAMPLE_TABLE)
+    return shown(stored.select(*spec.schema.names))
+
+
+def by_sample_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of one sample in a region, from the layout that is made for samples."""
+    stored, layout = stored_variants(spark, sf_dir, VARIANTS_BY_SAMPLE_TABLE)
+    where = of_samples(["S1"], layout=layout) & region("chr12", 1, 150_000_000, layout=layout)
+    return shown(stored.filter(where).select(*layout.schema.names))
+
+
 def sorted_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the stored table and neighbours that are out of order; none is expected."""
     stored, layout = stored_variants(spark, sf_dir)
@@ -358,6 +372,19 @@ def ingest_cnv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select(*CNV_TABLE.schema.names)
 
 
+def ingest_tpm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expression rows written as CSV files and ingested into the expression table."""
+    base = new_folder(spark, "ingest-tpm")
+    render.as_csv(views.tpm(spark, sf_dir)).write.option("header", "true").option(
+        "compression", "gzip"
+    ).csv(f"{base}/files")
+    spec = _fitted(spark, sf_dir, TPM_TABLE, "supplier")
+    ingest_folder(
+        spark, f"{base}/files", {"tpm": f"{base}/tpm"}, f"{base}/checkpoint", specs={"tpm": spec}
+    )
+    return read_batches(spark, f"{base}/tpm", spec).select(*spec.schema.names)
+
+
 # --- usage -----------------------------------------------------------------------------------
 
 
@@ -409,9 +436,8 @@ QUERIES: dict[str, Query] = {
     "layout_bucket_sizes": layout_bucket_sizes,
     "layout_bucket_rows": layout_bucket_rows,
     "write_read_variants": write_read_variants,
-    "write_read_by_sample": lambda spark, sf_dir: shown(
-        _write_read(views.variants, VARIANTS_BY_SAMPLE_TABLE, "lineitem")(spark, sf_dir)
-    ),
+    "write_read_by_sample": write_read_by_sample,
+    "by_sample_pruned": by_sample_pruned,
     "write_read_tpm": _write_read(views.tpm, TPM_TABLE, "supplier"),
     "write_read_cnv": _write_read(views.cnv, CNV_TABLE, "orders"),
     "region_pruned": region_pruned,
@@ -420,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "ingest_batches": ingest_batches,
     "fanout_counts": fanout_counts,
     "ingest_cnv": ingest_cnv,
+    "ingest_tpm": ingest_tpm,
     "usage_minutes": usage_minutes,
     "usage_unit_hours": usage_unit_hours,
     "usage_rollup": usage_rollup,

@@ -334,6 +334,10 @@ OPERATORS: dict[str, str] = {
     ),
     "write_read_tpm": over_views("SELECT * FROM fx_tpm"),
     "write_read_cnv": over_views("SELECT * FROM fx_cnv"),
+    "by_sample_pruned": over_views(
+        "SELECT * EXCLUDE (l_orderkey, l_linenumber, data_source, data_type) FROM fx_variants"
+        " WHERE sample_name = 'S1' AND contig = 'chr12' AND pos_start BETWEEN 1 AND 150000000"
+    ),
     "region_pruned": _variant_rows("contig = 'chr7' AND pos_start BETWEEN 100000000 AND 200000000"),
     "sample_pruned": _variant_rows("sample_name IN ('S1', 'S2')"),
     "sorted_check": over_views(
@@ -349,6 +353,7 @@ OPERATORS: dict[str, str] = {
         " UNION ALL SELECT 'annotations', count(*) FROM fx_dedup"
     ),
     "ingest_cnv": over_views("SELECT * FROM fx_cnv"),
+    "ingest_tpm": over_views("SELECT * FROM fx_tpm"),
     "usage_minutes": over_views(
         "SELECT resource, worker_type, capacity_type, minute, round(value, 6) AS value FROM minutes",
         minutes=_MINUTES,
