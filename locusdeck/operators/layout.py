@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from locusdeck.functions.layout_keys import with_layout_keys
 from locusdeck.operators.normalise import to_schema
-from locusdeck.schemas import Bucket, Identity, TableSpec, Truncate
+from locusdeck.schemas import Bucket, TableSpec, Truncate
 from locusdeck.session import settings
 
 # Shuffled rows take about this many times the space of the same rows in Parquet.
@@ -94,10 +94,18 @@ def create_table_sql(spec: TableSpec, name: str, using: str = "parquet", locatio
     )
 
 
+def sort_order_sql(spec: TableSpec, name: str) -> str:
+    """The statement that gives an Iceberg table its sort order."""
+    columns = ", ".join(f"`{c}` ASC NULLS LAST" for c in spec.sort_by)
+    return f"ALTER TABLE {name} WRITE DISTRIBUTED BY PARTITION LOCALLY ORDERED BY {columns}"
+
+
 def create_table(
     spark: SparkSession, spec: TableSpec, name: str, using: str = "parquet", location: str = ""
 ) -> None:
     spark.sql(create_table_sql(spec, name, using, location))
+    if using == "iceberg":
+        spark.sql(sort_order_sql(spec, name))
 
 
 def insert_into(df: DataFrame, spec: TableSpec, name: str, using: str = "parquet") -> None:
@@ -222,13 +230,13 @@ def ranged(df: DataFrame, order: list[str], partitions: int | None = None) -> Da
 
 
 __all__ = [
-    "Identity",
     "create_table",
     "create_table_sql",
     "drop_table",
     "insert_into",
     "laid_out",
     "ranged",
+    "sort_order_sql",
     "sort_violations",
     "write_table",
 ]

@@ -12,13 +12,14 @@ from locusdeck.functions.predicates import of_samples, quality, rare, region
 from locusdeck.operators import dedup, usage
 from locusdeck.operators.carriers import cohort_carriers
 from locusdeck.operators.joins import locus_join
-from locusdeck.operators.layout import create_table, insert_into, sort_violations, write_table
+from locusdeck.operators.layout import create_table, insert_into, ranged, sort_violations, write_table
 from locusdeck.operators.normalise import annotations_of, merged, to_schema
 from locusdeck.plans import render, views
 from locusdeck.plans.catalogue import Query, shown
 from locusdeck.schemas import (
     ANNOTATIONS_DEDUP_TABLE,
     CNV_TABLE,
+    LOCUS,
     TABLES,
     TPM_TABLE,
     VARIANTS,
@@ -296,6 +297,12 @@ def by_sample_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(stored.filter(where).select(*layout.schema.names))
 
 
+def batch_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variant rows in locus order across all tasks."""
+    rows = views.variants(spark, sf_dir).select(*LOCUS, "sample_name", "genotype")
+    return ranged(rows, list(LOCUS))
+
+
 def sorted_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the stored table and neighbours that are out of order; none is expected."""
     stored, layout = stored_variants(spark, sf_dir)
@@ -442,6 +449,7 @@ QUERIES: dict[str, Query] = {
     "write_read_cnv": _write_read(views.cnv, CNV_TABLE, "orders"),
     "region_pruned": region_pruned,
     "sample_pruned": sample_pruned,
+    "batch_sorted": batch_sorted,
     "sorted_check": sorted_check,
     "ingest_batches": ingest_batches,
     "fanout_counts": fanout_counts,

@@ -340,6 +340,9 @@ OPERATORS: dict[str, str] = {
     ),
     "region_pruned": _variant_rows("contig = 'chr7' AND pos_start BETWEEN 100000000 AND 200000000"),
     "sample_pruned": _variant_rows("sample_name IN ('S1', 'S2')"),
+    "batch_sorted": over_views(
+        "SELECT contig, pos_start, ref, alt, sample_name, genotype FROM fx_variants"
+    ),
     "sorted_check": over_views(
         "SELECT count(*) AS checked_rows, CAST(0 AS BIGINT) AS violations FROM fx_variants"
     ),

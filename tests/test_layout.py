@@ -164,6 +164,8 @@ def test_iceberg_text():
     text = layout.create_table_sql(VARIANTS_TABLE, "lake.variants", using="iceberg")
     assert "PARTITIONED BY (`contig`, truncate(5000000, `pos_start`), bucket(16, `sample_name`))" in text
     assert "'write.target-file-size-bytes' = '268435456'" in text and "contig_part" not in text
+    order = layout.sort_order_sql(VARIANTS_TABLE, "lake.variants")
+    assert order.endswith("ORDERED BY `pos_start` ASC NULLS LAST, `ref` ASC NULLS LAST, `alt` ASC NULLS LAST")
 
 
 def test_range_order_is_total(spark):
