@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ from locusdeck.schemas import (
     VARIANTS_TABLE,
     TableSpec,
 )
-from locusdeck.session import new_folder
+from locusdeck.session import new_folder, once
 from locusdeck.sources.archives import expand
 from locusdeck.sources.expression import read_tpm
 from locusdeck.sources.manifest import read_manifest
@@ -40,9 +41,6 @@ ROW_BYTES = {"variants": 60, "variants_by_sample": 60, "annotations": 30, "tpm":
 
 WINDOW = (datetime(2024, 1, 5), datetime(2024, 1, 10))
 
-_written: dict[tuple, tuple[str, TableSpec]] = {}
-
-
 def _fitted(spark: SparkSession, sf_dir: str, spec: TableSpec, table: str) -> TableSpec:
     rows = views.source(spark, sf_dir, table).count()
     return spec.fitted(rows * ROW_BYTES[spec.name])
@@ -52,13 +50,13 @@ def stored_variants(
     spark: SparkSession, sf_dir: str, declared: TableSpec = VARIANTS_TABLE
 ) -> tuple[DataFrame, TableSpec]:
     """Variants written in a layout, once per application and input."""
-    key = (spark.sparkContext.applicationId, sf_dir, declared.name)
-    if key not in _written:
+
+    def make(path: str) -> tuple[str, TableSpec]:
         spec = _fitted(spark, sf_dir, declared, "lineitem")
-        path = new_folder(spark, spec.name)
         write_table(views.variants(spark, sf_dir), spec, path)
-        _written[key] = path, spec
-    path, spec = _written[key]
+        return path, spec
+
+    path, spec = once(spark, sf_dir, declared.name, make)
     return read_table(spark, path, spec), spec
 
 
@@ -102,18 +100,24 @@ def quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources ---------------------------------------------------------------------------------
 
 
+def _manifest(spark: SparkSession, sf_dir: str) -> str:
+    """A manifest file with one line per sample, blank lines among them."""
+
+    def make(path: str) -> str:
+        render.as_manifest(views.source(spark, sf_dir, "supplier")).write.text(path)
+        return path
+
+    return once(spark, sf_dir, "manifest", make)
+
+
 def manifest_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines 2 to 7 of a manifest with one line per sample, blank lines not counted."""
-    path = new_folder(spark, "manifest")
-    render.as_manifest(views.source(spark, sf_dir, "supplier")).write.text(path)
-    return read_manifest(spark, f"{path}:::2-7").orderBy("path")
+    """Lines 2 to 7, blank lines not counted."""
+    return read_manifest(spark, f"{_manifest(spark, sf_dir)}:::2-7").orderBy("path")
 
 
 def manifest_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lines of the manifest with their number."""
-    path = new_folder(spark, "manifest")
-    render.as_manifest(views.source(spark, sf_dir, "supplier")).write.text(path)
-    return read_manifest(spark, path)
+    """All lines with their number."""
+    return read_manifest(spark, _manifest(spark, sf_dir))
 
 
 def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,32 +134,46 @@ def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _written_lines(spark: SparkSession, lines: DataFrame) -> DataFrame:
-    """Text lines as a table in the shared folder, as a reader would find them."""
-    path = new_folder(spark, "vcf-lines")
-    # Small row groups let several tasks share a file when there are few files.
-    lines.write.option("parquet.block.size", 16 * 1024 * 1024).parquet(path)
+def _lines(spark: SparkSession, sf_dir: str, name: str, lines: Callable[[], DataFrame]) -> DataFrame:
+    """VCF text lines as a table in the shared folder, as a reader would find them."""
+
+    def make(path: str) -> str:
+        # Small row groups let several tasks share a file when there are few files.
+        lines().write.option("parquet.block.size", 16 * 1024 * 1024).parquet(path)
+        return path
+
+    path = once(spark, sf_dir, name, make)
     return spark.read.schema("file_path string, value string").parquet(path)
 
 
 def vcf_parse_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VCF lines of all samples; every other file names its sample by its file name only."""
-    records = render.variant_records(views.variants(spark, sf_dir))
-    named = F.substring("sample", 2, 30).cast("long") % 2 == 0
-    return shown(parse_variants(_written_lines(spark, render.as_lines(records, named))))
+
+    def lines() -> DataFrame:
+        named = F.substring("sample", 2, 30).cast("long") % 2 == 0
+        return render.as_lines(render.variant_records(views.variants(spark, sf_dir)), named)
+
+    return shown(parse_variants(_lines(spark, sf_dir, "variant-lines", lines)))
 
 
 def vcf_parse_cnv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = render.cnv_records(views.cnv(spark, sf_dir))
-    return parse_cnv(_written_lines(spark, render.as_lines(records)))
+    def lines() -> DataFrame:
+        return render.as_lines(render.cnv_records(views.cnv(spark, sf_dir)))
+
+    return parse_cnv(_lines(spark, sf_dir, "cnv-lines", lines))
+
+
+def _tpm_files(spark: SparkSession, sf_dir: str) -> str:
+    def make(path: str) -> str:
+        texts = render.as_csv(views.tpm(spark, sf_dir)).write
+        texts.option("header", "true").option("compression", "gzip").csv(path)
+        return path
+
+    return once(spark, sf_dir, "tpm-csv", make)
 
 
 def tpm_csv_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_folder(spark, "tpm-csv")
-    render.as_csv(views.tpm(spark, sf_dir)).write.option("header", "true").option(
-        "compression", "gzip"
-    ).csv(path)
-    return read_tpm(spark, path)
+    return read_tpm(spark, _tpm_files(spark, sf_dir))
 
 
 # --- joins -----------------------------------------------------------------------------------
@@ -326,22 +344,30 @@ def _cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _ingested(spark: SparkSession, sf_dir: str, tables: list[str], files_per_batch: int) -> dict:
-    """Render VCF files per sample, ingest the folder, and give the stored tables."""
+def _vcf_files(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """A folder of VCF files per sample, as sequencing pipelines leave them."""
+
+    def make(path: str) -> str:
+        if kind == "cnv":
+            records = render.cnv_records(views.cnv(spark, sf_dir))
+        else:
+            records = render.variant_records(_cohort(spark, sf_dir))
+        render.write_files(records, path)
+        return path
+
+    return once(spark, sf_dir, f"{kind}-files", make)
+
+
+def _ingested(
+    spark: SparkSession, sf_dir: str, files: str, tables: list[str], source: str, files_per_batch: int
+) -> dict[str, DataFrame]:
+    """The tables after one ingestion of a folder of files."""
     base = new_folder(spark, "ingest")
-    if tables == ["cnv"]:
-        render.write_files(render.cnv_records(views.cnv(spark, sf_dir)), f"{base}/files")
-        source = "orders"
-    else:
-        render.write_files(render.variant_records(_cohort(spark, sf_dir)), f"{base}/files")
-        source = "lineitem"
-    specs = {
-        name: _fitted(spark, sf_dir, TABLES[name], source) for name in tables
-    }
+    specs = {name: _fitted(spark, sf_dir, TABLES[name], source) for name in tables}
     targets = {name: f"{base}/{name}" for name in tables}
     ingest_folder(
         spark,
-        f"{base}/files",
+        files,
         targets,
         f"{base}/checkpoint",
         files_per_batch,
@@ -358,8 +384,9 @@ def _files_per_batch(spark: SparkSession, sf_dir: str, batches: int) -> int:
 
 
 def ingest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and summed depth per sample after ingesting the rendered files in several batches."""
-    stored = _ingested(spark, sf_dir, ["variants"], _files_per_batch(spark, sf_dir, 3))["variants"]
+    """Rows and summed depth per sample after ingesting the files in several batches."""
+    files, size = _vcf_files(spark, sf_dir, "variant"), _files_per_batch(spark, sf_dir, 3)
+    stored = _ingested(spark, sf_dir, files, ["variants"], "lineitem", size)["variants"]
     return stored.groupBy("sample_name").agg(
         F.count("*").alias("variant_rows"), F.sum("read_depth").alias("depth")
     )
@@ -367,29 +394,22 @@ def ingest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the three tables that one ingestion has written."""
+    files, size = _vcf_files(spark, sf_dir, "variant"), _files_per_batch(spark, sf_dir, 2)
     names = ["variants", "variants_by_sample", "annotations"]
-    stored = _ingested(spark, sf_dir, names, _files_per_batch(spark, sf_dir, 2))
+    stored = _ingested(spark, sf_dir, files, names, "lineitem", size)
     return merged(
         [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in stored.items()]
     )
 
 
 def ingest_cnv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _ingested(spark, sf_dir, ["cnv"], 100)["cnv"]
-    return stored.select(*CNV_TABLE.schema.names)
+    files = _vcf_files(spark, sf_dir, "cnv")
+    return _ingested(spark, sf_dir, files, ["cnv"], "orders", 100)["cnv"].select(*CNV_TABLE.schema.names)
 
 
 def ingest_tpm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expression rows written as CSV files and ingested into the expression table."""
-    base = new_folder(spark, "ingest-tpm")
-    render.as_csv(views.tpm(spark, sf_dir)).write.option("header", "true").option(
-        "compression", "gzip"
-    ).csv(f"{base}/files")
-    spec = _fitted(spark, sf_dir, TPM_TABLE, "supplier")
-    ingest_folder(
-        spark, f"{base}/files", {"tpm": f"{base}/tpm"}, f"{base}/checkpoint", specs={"tpm": spec}
-    )
-    return read_batches(spark, f"{base}/tpm", spec).select(*spec.schema.names)
+    files = _tpm_files(spark, sf_dir)
+    return _ingested(spark, sf_dir, files, ["tpm"], "supplier", 100)["tpm"].select(*TPM_TABLE.schema.names)
 
 
 # --- usage -----------------------------------------------------------------------------------

@@ -14,7 +14,7 @@ from locusdeck.operators import dedup
 from locusdeck.operators.layout import write_table
 from locusdeck.operators.normalise import ANNOTATION_SOURCES
 from locusdeck.schemas import ANNOTATIONS, ANNOTATIONS_DEDUP_TABLE, CNV, TPM, VARIANTS, TableSpec
-from locusdeck.session import new_folder
+from locusdeck.session import once
 from locusdeck.sources.tables import read_table
 
 # --- fixed values of the derivation ---
@@ -143,23 +143,20 @@ def distinct_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_stored: dict[tuple, tuple[str, TableSpec]] = {}
-
-
 def stored_annotations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TableSpec]:
     """The deduplicated annotations as a stored table, and its layout.
 
     Queries join to a table that the dedup job has written, so it is written once per
     application and input, in the shared folder, and read by every later query.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, "annotations_dedup")
-    if key not in _stored:
+
+    def make(path: str) -> tuple[str, TableSpec]:
         loci = source(spark, sf_dir, "part").count()
         spec = ANNOTATIONS_DEDUP_TABLE.fitted(loci * 60)
-        path = new_folder(spark, "annotations_dedup")
         write_table(dedup.by_rank(distinct_annotations(spark, sf_dir), copies=False), spec, path)
-        _stored[key] = path, spec
-    path, spec = _stored[key]
+        return path, spec
+
+    path, spec = once(spark, sf_dir, "annotations_dedup", make)
     return read_table(spark, path, spec), spec
 
 

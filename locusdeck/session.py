@@ -5,11 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
+from typing import Any, TypeVar
 
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 
 def local_session(cores: int | str = 8, name: str = "locusdeck", **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark; a cluster brings its own."""
@@ -50,6 +53,20 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/locusdeck/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_made: dict[tuple[str, ...], Any] = {}
+
+
+def once(spark: SparkSession, source: str, name: str, make: Callable[[str], T]) -> T:
+    """What ``make`` gives for a fresh folder, made once per application, input and name.
+
+    For written tables and files that several queries over the same input read.
+    """
+    key = (spark.sparkContext.applicationId, shared_folder(spark), source, name)
+    if key not in _made:
+        _made[key] = make(new_folder(spark, name))
+    return _made[key]
+
+
 @contextmanager
 def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
     """Run one action under changed SQL settings and put the old ones back."""
