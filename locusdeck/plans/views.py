@@ -7,6 +7,8 @@ column selections of a query reach the scans underneath.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +47,13 @@ def _gene_symbol(brand: Column) -> Column:
     return _choice(brand, NAMED_GENES, F.concat(F.lit("GENE_"), F.substring(brand, 7, 100)))
 
 
-def _variant_columns() -> dict[str, Column]:
+def _variant_columns(spark: SparkSession) -> dict[str, Column]:
+    return _columns_of(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=1)
+def _columns_of(application: str) -> dict[str, Column]:
+    """Built once per application: some hundred calls into the JVM."""
     part, order, number = F.col("p_partkey"), F.col("l_orderkey"), F.col("l_linenumber")
     text = lambda c: c.cast("string")
     base = lambda shift, scale: F.substring(
@@ -118,7 +126,7 @@ def variants(
     if where is not None:
         items = items.filter(where)
     parts = source(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
-    columns = _variant_columns()
+    columns = _variant_columns(spark)
     chosen = [columns[name].alias(name) for name in VARIANTS.names]
     return items.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(*chosen, *keep)
 
@@ -137,7 +145,7 @@ def distinct_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     items = source(spark, sf_dir, "lineitem").select("l_partkey", "l_linenumber").distinct()
     parts = source(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
-    columns = _variant_columns()
+    columns = _variant_columns(spark)
     return items.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         *[columns[s].alias(n) for n, s in ANNOTATION_SOURCES.items()]
     )
