@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from locusdeck.functions.layout_keys import bucket_of, truncated
+from locusdeck.functions.layout_keys import bucket_of
 from locusdeck.schemas import Bucket, Identity, TableSpec, Truncate
 
 # --- fixed values ---
@@ -93,23 +93,3 @@ def of_samples(
         found = found & F.col(key.name).isin([bucket_of(s, key.count) for s in wanted])
     return found
 
-
-def in_region(df: DataFrame, contig: str, low: int, high: int, **how) -> DataFrame:
-    return df.filter(region(contig, low, high, **how))
-
-
-__all__ = [
-    "LOW_QUALITY",
-    "MIN_DEPTH",
-    "NO_CALLS",
-    "RARE_BELOW",
-    "f32",
-    "in_region",
-    "mentions",
-    "of_samples",
-    "quality",
-    "rare",
-    "region",
-    "regions",
-    "truncated",
-]

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from locusdeck.schemas import ANNOTATION_LOCUS, LOCUS
+from locusdeck.functions.layout_keys import key_column
+from locusdeck.schemas import ANNOTATION_LOCUS, LOCUS, TableSpec
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Per value, for the row format and the hash table around the payload.
@@ -119,17 +120,27 @@ def locus_join(
     limit: int = BROADCAST_BYTES,
     even: bool = False,
     fits: bool | None = None,
+    layout: TableSpec | None = None,
 ) -> DataFrame:
     """Variants with the annotation of their locus; ``annotations`` has one row per locus.
 
     Annotation columns arrive as ``a_<name>``, so equal names on both sides stay apart.
     Callers select the columns they need beforehand: the bound is on what is broadcast.
+
+    ``layout`` is that of a stored variant table. Its position keys are then computed for the
+    annotations too and joined on, so that Spark prunes folders by the loci that are left
+    after the annotation filter: a gene reads its own stretch of the genome only.
     """
     as_locus = dict(zip(ANNOTATION_LOCUS, LOCUS))
     dimension = annotations.select(
         *[F.col(c).alias(as_locus.get(c, f"a_{c}")) for c in annotations.columns]
     )
-    return join_dimension(variants, dimension, LOCUS, strategy, limit, even, fits)
+    keys = list(LOCUS)
+    for key in layout.partition_by if layout else ():
+        if key.column in LOCUS:
+            dimension = dimension.withColumn(key.name, key_column(key))
+            keys.append(key.name)
+    return join_dimension(variants, dimension, keys, strategy, limit, even, fits)
 
 
 def joined_counts(

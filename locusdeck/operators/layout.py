@@ -228,15 +228,3 @@ def ranged(df: DataFrame, order: list[str], partitions: int | None = None) -> Da
     spread = df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
     return spread.sortWithinPartitions(*columns)
 
-
-__all__ = [
-    "create_table",
-    "create_table_sql",
-    "drop_table",
-    "insert_into",
-    "laid_out",
-    "ranged",
-    "sort_order_sql",
-    "sort_violations",
-    "write_table",
-]

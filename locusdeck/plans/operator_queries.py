@@ -122,8 +122,15 @@ def manifest_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Data lines of all VCF members of zip and tar archives that hold the variant lines."""
-    records = render.variant_records(views.variants(spark, sf_dir))
-    lines = expand(render.as_archives(records))
+
+    def make(path: str) -> str:
+        records = render.variant_records(views.variants(spark, sf_dir))
+        render.as_archives(records).write.option("parquet.block.size", 4 * 1024 * 1024).parquet(path)
+        return path
+
+    # The rows that the binary file source gives for a folder of archives.
+    path = once(spark, sf_dir, "archives", make)
+    lines = expand(spark.read.schema("path string, content binary").parquet(path))
     data = lines.filter(~F.col("line").startswith("#"))
     return data.select(F.split("line", "\t").alias("c")).select(
         F.get("c", F.lit(0)).alias("contig"),
@@ -187,6 +194,15 @@ def _joined(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
     )
 
 
+def locus_join_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored variants of one gene, found through the annotations of its loci."""
+    variants, layout = stored_variants(spark, sf_dir)
+    stored, _ = views.stored_annotations(spark, sf_dir)
+    loci = stored.filter(F.col("symbol") == "WASH8P").select("chrom", "pos", "ref", "alt", "impact")
+    joined = locus_join(variants, loci, layout=layout)
+    return joined.select("sample_name", *LOCUS, "genotype", "a_impact")
+
+
 def cohort_carriers_two_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Carriers per gene in three cohorts, over all variant rows."""
     cohorts = {
@@ -452,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "join_broadcast": lambda spark, sf_dir: _joined(spark, sf_dir, "broadcast"),
     "join_shuffled": lambda spark, sf_dir: _joined(spark, sf_dir, "shuffle"),
     "join_salted": lambda spark, sf_dir: _joined(spark, sf_dir, "salt"),
+    "locus_join_pruned": locus_join_pruned,
     "cohort_carriers_two_phase": cohort_carriers_two_phase,
     "dedup_rank": dedup_rank,
     "dedup_rank_nulls_first": dedup_rank_nulls_first,

@@ -298,6 +298,9 @@ OPERATORS: dict[str, str] = {
     "join_broadcast": _JOIN_ROWS,
     "join_shuffled": _JOIN_ROWS,
     "join_salted": _JOIN_ROWS,
+    "locus_join_pruned": over_joined(
+        "SELECT sample_name, contig, pos_start, ref, alt, genotype, a_impact FROM joined WHERE a_symbol = 'WASH8P'"
+    ),
     "cohort_carriers_two_phase": over_views(
         "SELECT vep_symbol AS gene,"
         " count(DISTINCT CASE WHEN data_source = 'ICGC-ARGO' THEN sample_name END) AS icgc_carriers,"

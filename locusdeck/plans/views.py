@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from locusdeck.operators import dedup
 from locusdeck.operators.layout import write_table
 from locusdeck.operators.normalise import ANNOTATION_SOURCES
-from locusdeck.schemas import ANNOTATIONS, ANNOTATIONS_DEDUP_TABLE, CNV, TPM, VARIANTS, TableSpec
+from locusdeck.schemas import ANNOTATIONS_DEDUP_TABLE, CNV, TPM, VARIANTS, TableSpec
 from locusdeck.session import once
 from locusdeck.sources.tables import read_table
 
@@ -233,15 +233,3 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
     )
 
-
-__all__ = [
-    "ANNOTATIONS",
-    "annotations",
-    "cnv",
-    "distinct_annotations",
-    "source",
-    "stored_annotations",
-    "tpm",
-    "usage",
-    "variants",
-]

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from conftest import SF_DIR, rows
 from locusdeck.functions.layout_keys import bucket_of, bucketed, truncated
 from locusdeck.functions.predicates import of_samples, region
-from locusdeck.operators import layout
+from locusdeck.operators import dedup, layout
+from locusdeck.operators.joins import locus_join
 from locusdeck.plans import views
 from locusdeck.schemas import (
     ANNOTATIONS_TABLE, TABLES, VARIANTS, VARIANTS_BY_SAMPLE, VARIANTS_TABLE, Bucket, Identity, TableSpec, Truncate,
@@ -80,6 +81,20 @@ def test_partition_keys_prune(spark, stored, plan):
     assert rows(samples) == rows(back.filter("sample_name in ('S1', 'S2')")) and samples.count()
 
 
+def test_join_prunes_by_the_loci_that_are_left(spark, stored, plan):
+    back = read_table(spark, stored, SMALL)
+    loci = dedup.by_rank(views.distinct_annotations(spark, SF_DIR)).filter("chrom = 'chr7' or symbol = 'TP53'")
+    small = loci.select("chrom", "pos", "ref", "alt", "symbol")
+    joined = locus_join(back, small, layout=SMALL)
+    text = plan(joined)
+    assert "dynamicpruning" in text[text.index("PartitionFilters"):].split("ReadSchema")[0]
+    names = [*VARIANTS.names, "a_symbol"]
+    for strategy in ("auto", "shuffle", "salt"):
+        found = locus_join(back, small, strategy, layout=SMALL)
+        assert rows(found.select(*names)) == rows(locus_join(back, small).select(*names))
+    assert joined.count()
+
+
 def test_half_open_bound_on_a_border(spark, stored):
     back = read_table(spark, stored, SMALL)
     found = back.filter(region("chr7", 100_000_000, 200_000_000, half_open=True, layout=SMALL))
