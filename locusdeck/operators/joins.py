@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 from locusdeck.functions.layout_keys import key_column
 from locusdeck.schemas import ANNOTATION_LOCUS, LOCUS, TableSpec
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+# Far less than an executor holds, far more than Spark broadcasts by itself: a fact table of
+# many terabytes is worth not shuffling.
+BROADCAST_BYTES = 256 * 1024 * 1024
 # Per value, for the row format and the hash table around the payload.
 VALUE_OVERHEAD = 16
 MOST_HOT_KEYS = 1_000

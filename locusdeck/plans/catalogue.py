@@ -24,7 +24,7 @@ from locusdeck.functions.predicates import (
     regions,
 )
 from locusdeck.operators.carriers import carriers, cohort_carriers, rows_by_annotation
-from locusdeck.operators.joins import joined_counts, locus_join
+from locusdeck.operators.joins import fits_broadcast, joined_counts, locus_join
 from locusdeck.plans import views
 from locusdeck.schemas import VARIANTS
 
@@ -306,8 +306,15 @@ def _hotspots(joined: DataFrame) -> DataFrame:
 
 
 def s10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region or gene, where the region is a variant column and the gene an annotation.
+
+    The condition can only be tested after the join, so all rare loci take part. Where they
+    are too many to broadcast, the two disjoint branches are joined by themselves.
+    """
     loci = _dimension(spark, sf_dir, rare(), "symbol")
-    joined = locus_join(views.variants(spark, sf_dir).filter(_hotspot_calls()), loci)
+    if not fits_broadcast(loci):
+        return s10_union(spark, sf_dir)
+    joined = locus_join(views.variants(spark, sf_dir).filter(_hotspot_calls()), loci, fits=True)
     return _hotspots(joined.filter(region(*HOTSPOT) | (F.col("a_symbol") == "TP53")))
 
 

@@ -41,6 +41,7 @@ ROW_BYTES = {"variants": 60, "variants_by_sample": 60, "annotations": 30, "tpm":
 
 WINDOW = (datetime(2024, 1, 5), datetime(2024, 1, 10))
 
+
 def _fitted(spark: SparkSession, sf_dir: str, spec: TableSpec, table: str) -> TableSpec:
     rows = views.source(spark, sf_dir, table).count()
     return spec.fitted(rows * ROW_BYTES[spec.name])

@@ -32,7 +32,10 @@ BRANDS = 25
 
 
 def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A given table; its schema is read from the files once per application."""
+    path = f"{sf_dir}/{table}.parquet"
+    schema = once(spark, path, "schema", lambda _: spark.read.parquet(path).schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _choice(value: Column, options: dict, otherwise) -> Column:

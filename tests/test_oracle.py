@@ -50,6 +50,14 @@ def test_single_table_and_joined_forms_agree(spark, single, joined):
     assert rows(QUERIES[single](spark, SF_DIR)) == rows(QUERIES[joined](spark, SF_DIR))
 
 
+def test_region_or_gene_without_broadcast(spark, monkeypatch):
+    expected = rows(QUERIES["S10"](spark, SF_DIR))
+    monkeypatch.setattr("locusdeck.plans.catalogue.fits_broadcast", lambda df: False)
+    monkeypatch.setattr("locusdeck.operators.joins.fits_broadcast", lambda df, limit=0: False)
+    assert rows(QUERIES["S10"](spark, SF_DIR)) == expected
+    assert rows(QUERIES["S8"](spark, SF_DIR)) == rows(QUERIES["Q15"](spark, SF_DIR))
+
+
 def test_counted_forms_agree(spark):
     per_class = {tuple(r) for r in QUERIES["Q12"](spark, SF_DIR).collect()}
     assert per_class == {tuple(r) for r in QUERIES["S5"](spark, SF_DIR).collect()}
