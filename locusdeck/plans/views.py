@@ -11,6 +11,7 @@ from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from locusdeck.operators import dedup
 from locusdeck.operators.layout import write_table
@@ -31,11 +32,16 @@ BRANDS = 25
 # --- end of fixed values ---
 
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
 def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A given table; its schema is read from the files once per application."""
     path = f"{sf_dir}/{table}.parquet"
-    schema = once(spark, path, "schema", lambda _: spark.read.parquet(path).schema)
-    return spark.read.schema(schema).parquet(path)
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def _choice(value: Column, options: dict, otherwise) -> Column:
