@@ -12,6 +12,7 @@ from locusdeck.plans import views
 from locusdeck.schemas import (
     ANNOTATIONS_TABLE, TABLES, VARIANTS, VARIANTS_BY_SAMPLE, VARIANTS_TABLE, Bucket, Identity, TableSpec, Truncate,
 )
+from locusdeck.session import shared_folder
 from locusdeck.sources.tables import catalog_table, read_table
 
 SMALL = TableSpec(
@@ -187,3 +188,28 @@ def test_range_order_is_total(spark):
     spread = layout.ranged(views.variants(spark, SF_DIR).select("contig", "pos_start"), ["contig", "pos_start"], 4)
     found = [tuple(r) for r in spread.collect()]
     assert found == sorted(found)
+
+
+class _Session:
+    """A session as ``shared_folder`` sees it."""
+
+    def __init__(self, master, setting=None):
+        folder = []
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: setting or default)})
+        self.sparkContext = type(
+            "Context",
+            (),
+            {
+                "master": master,
+                "getCheckpointDir": staticmethod(lambda: folder[0] if folder else None),
+                "setCheckpointDir": staticmethod(folder.append),
+            },
+        )
+
+
+def test_written_tables_go_where_the_cluster_says(tmp_path):
+    assert shared_folder(_Session("spark://host:1", "hdfs://lake/tmp/")) == "hdfs://lake/tmp"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("spark://host:1"))
+    local = _Session("local[2]")
+    assert shared_folder(local) == shared_folder(local) != ""
