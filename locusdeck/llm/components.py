@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locusdeck.llm.shared import attach, cut
+from locusdeck.llm.shared import BROADCAST_BYTES, attach, cut
+
+#: At most two arcs for each edge, of two numbers each.
+ROW_BYTES = 64
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -17,10 +20,15 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row[0], int(row[1] or 0)
 
 
-def _star(arcs: DataFrame, take: Column) -> DataFrame:
-    """For arcs (u, v): v and the least of u and all its v, for the arcs that ``take`` picks."""
-    least = cut(arcs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("n")))
-    return attach(arcs, least, "u", "n").filter(take)
+def _star(arcs: DataFrame, take: Column, few: bool) -> DataFrame:
+    """For arcs (u, v): v and the least of u and all its v, for the arcs that ``take`` picks.
+
+    The least are broadcast if the arcs are few; else nodes with many arcs are split.
+    """
+    least = arcs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("n"))
+    if few:
+        return arcs.join(F.broadcast(least.drop("n")), "u").filter(take)
+    return attach(arcs, cut(least), "u", "n").filter(take)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -32,12 +40,13 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while (now := _state(current)) != before and now[0]:
         before = now
+        few = now[0] * ROW_BYTES <= BROADCAST_BYTES
         both = current.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             current.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
-        large = _star(both, F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = cut(large)
-        least = _star(large, F.lit(True))
+        large = _star(both, F.col("v") > F.col("u"), few).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = large if few else cut(large)
+        least = _star(large, F.lit(True), few)
         small = least.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
             least.select(F.col("u").alias("a"), F.col("m").alias("b"))
         )

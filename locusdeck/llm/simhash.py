@@ -113,18 +113,18 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def groups(fps: DataFrame, radius: int = RADIUS, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``fps`` with component_id: the least id reachable over links."""
+    """The rows of ``fps`` with component_id, the least id reachable over links, and root, the least fingerprint."""
     distinct = cut(fps.groupBy("fp").agg(F.min(id_col).alias("least"), F.count("*").alias("n")))
     rooted = components(links(distinct.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
     # Each fingerprint occurs once on both sides, so neither join can meet a hot key.
     known = cut(distinct.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     best = cut(known.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("m")))
-    named = cut(attach(known, best, "root", "m").select("fp", "component_id", "n"))
+    named = cut(attach(known, best, "root", "m").select("fp", "root", "component_id", "n"))
     return attach(fps, named, "fp", "n")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp and component_id of every row."""
+    """doc_id, fp, root and component_id of every row."""
     return groups(cut(fingerprints(docs, size=size)), radius)
 
 
@@ -145,8 +145,8 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> D
     same = F.col("doc_id").eqNullSafe(F.col("_odd"))
     regular = kept.join(odd, same, "left_anti")
     rows = fingerprints(docs.join(odd, same, "left_semi"), tuple(docs.columns), size)
-    component = found.select("fp", "component_id").distinct().withColumnRenamed("fp", "_fp")
+    component = found.select("fp", "root", "component_id").distinct().withColumnRenamed("fp", "_fp")
     own = rows.join(component, F.col("fp") == F.col("_fp"))
-    first = Window.partitionBy("component_id").orderBy("doc_id", "text")
+    first = Window.partitionBy("root").orderBy("doc_id", "text")
     left = own.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).withColumn("_nth", F.row_number().over(first))
     return regular.unionByName(left.filter("_nth = 1").select(*docs.columns))
