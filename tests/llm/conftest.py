@@ -1,0 +1,19 @@
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
+
+import pytest
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    """A table of documents from (doc_id, text) or (doc_id, text, lang) rows."""
+
+    def make(rows):
+        full = [(r[0], r[1], r[2] if len(r) > 2 else "en", "s", len(r[1] or "")) for r in rows]
+        return spark.createDataFrame(full, DOC)
+
+    return make
