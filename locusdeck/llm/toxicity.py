@@ -103,6 +103,12 @@ def labelled(docs: DataFrame, labels: DataFrame, train: Column, sample_rows: int
     """text and toxic of at most ``sample_rows`` documents of either label for which ``train`` holds."""
     one = labels.filter(F.coalesce(train, F.lit(False)) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     one = one.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+    sizes = one.groupBy("toxic").count().collect()
+    # About twice the sample of either label is left to be ordered, however many labels there are.
+    share = [F.lit(x) for r in sizes for x in (r["toxic"], min(1.0, 2 * sample_rows / r["count"]))]
+    if share:
+        drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.create_map(*share)[F.col("toxic")] * (1 << 20)
+        one = one.filter(drawn)
     nth = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
     picked = one.withColumn("_nth", nth).filter(F.col("_nth") <= sample_rows).select(F.col("doc_id").alias("_id"), "toxic")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
