@@ -59,7 +59,7 @@ def region(
     """Rows of one genomic interval.
 
     With ``layout`` the partition keys of a stored table are bounded too, so that only the
-    folders that can hold the interval are listed and read.
+    folders that can hold the interval are read.
     """
     name, position = columns
     at = F.col(position)
