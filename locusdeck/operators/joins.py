@@ -22,9 +22,8 @@ from locusdeck.schemas import ANNOTATION_LOCUS, LOCUS, TableSpec
 BROADCAST_BYTES = 256 * 1024 * 1024
 # Per value, for the row format and the hash table around the payload.
 VALUE_OVERHEAD = 16
-MOST_HOT_KEYS = 1_000
-# Hashing more columns costs more than it spreads.
-SALT_COLUMNS = 4
+# What the sketch can tell apart; more partitions than this do not make finer shares.
+MOST_SHARE = 50_000
 
 STRATEGIES = ("auto", "broadcast", "shuffle", "salt")
 
@@ -51,10 +50,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int) -> list[int]:
     """Hashes of keys that hold at least one ``share``-th of all rows.
 
     A frequent-items sketch finds them in one pass without a shuffle by key. There are at
-    most ``share`` such keys, whatever the size of the data, and no more than
-    MOST_HOT_KEYS are returned; a key that is left out is joined like any other.
+    most ``share`` such keys, whatever the size of the data, and all of them are returned.
     """
-    top = min(share, MOST_HOT_KEYS)
+    top = share = min(share, MOST_SHARE)
     sketch = df.select(F.xxhash64(*keys).alias("_key")).agg(
         F.expr(f"approx_top_k(_key, {top}, {20 * top})").alias("_top"), F.count("*").alias("_rows")
     )
@@ -69,7 +67,7 @@ def salted_join(
 ) -> DataFrame:
     """Inner join on ``keys`` that spreads hot keys of the fact side over ``share`` tasks.
 
-    Fact rows of a hot key get a salt from a hash of some other columns, so a retried task
+    Fact rows of a hot key get a salt from a hash of all other columns, so a retried task
     makes the same choice; the few dimension rows of hot keys are repeated once per salt.
     All other rows take salt 0. No row is lost or doubled for any choice of hot keys, as long
     as both sides use the same: they are found once and then stand in the plan as literals.
@@ -79,7 +77,7 @@ def salted_join(
     if not hot:
         return fact.join(dimension, list(keys))
     is_hot = F.xxhash64(*keys).isin(hot)
-    spread = F.xxhash64(*([c for c in fact.columns if c not in keys][:SALT_COLUMNS] or keys))
+    spread = F.xxhash64(*([c for c in fact.columns if c not in keys] or keys))
     salt = F.when(is_hot, F.pmod(spread, F.lit(share).cast("long"))).otherwise(F.lit(0).cast("long"))
     last = F.when(is_hot, F.lit(share - 1).cast("long")).otherwise(F.lit(0).cast("long"))
     copies = F.explode(F.sequence(F.lit(0).cast("long"), last))

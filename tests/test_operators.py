@@ -248,3 +248,8 @@ def test_usage_range_reaches_the_scan(spark, plan):
     text = plan(usage.minutes(views.usage(spark, SF_DIR), datetime(2024, 1, 5), datetime(2024, 1, 10)))
     assert "GreaterThanOrEqual(ts" in text and "LessThan(ts" in text
 
+
+
+def test_all_hot_keys_are_found(spark):
+    rows = spark.range(3000).selectExpr("id % 1500 AS k")
+    assert len(joins.hot_keys(rows, ["k"], 2000)) == 1500
