@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from corpus_fixtures import docs  # noqa: F401
 from locusdeck.llm import components, queries, seeds, simhash, spots, templates, urls, warc
 from locusdeck.llm.shared import attach
 

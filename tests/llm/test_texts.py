@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from corpus_fixtures import docs  # noqa: F401
 from locusdeck.llm import language, pieces, queries, secret_scan, simhash, toxicity
 
 SF = "/root/testdata/sf0.001"
