@@ -83,11 +83,10 @@ def extract_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    statuses = ("O", "F")
-    frames = [
-        views.variants(spark, sf_dir, where=F.col("l_linestatus") == status) for status in statuses
-    ]
-    return shown(merged(frames))
+    status = F.col("l_linestatus")
+    # Two lots of rows and whatever is in neither.
+    lots = [status == "O", status == "F", ~F.coalesce(status.isin("O", "F"), F.lit(False))]
+    return shown(merged([views.variants(spark, sf_dir, where=lot) for lot in lots]))
 
 
 def rare_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
