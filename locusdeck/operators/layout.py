@@ -13,6 +13,7 @@ from locusdeck.functions.layout_keys import with_layout_keys
 from locusdeck.operators.normalise import to_schema
 from locusdeck.schemas import Bucket, TableSpec, Truncate
 from locusdeck.session import settings
+from locusdeck.sources.tables import keep_layout
 
 # Shuffled rows take about this many times the space of the same rows in Parquet.
 SHUFFLE_TO_FILE = 3
@@ -38,9 +39,23 @@ def laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, spec: TableSpec, path: str, mode: str = "append", max_records: int = 0
+    df: DataFrame,
+    spec: TableSpec,
+    path: str,
+    mode: str = "append",
+    max_records: int = 0,
+    table: str | None = None,
 ) -> None:
-    """Write rows in the declared layout; ``max_records`` bounds the rows of a file."""
+    """Write rows in the declared layout; ``max_records`` bounds the rows of a file.
+
+    The layout is kept with the table, and rows are not added to a table that keeps another one. ``table``
+    is the table's folder where ``path`` is a part of it.
+    """
+    spark = df.sparkSession
+    # Overwriting a whole table takes its old layout away, too.
+    anew = mode == "overwrite" and table is None
+    if not anew:
+        keep_layout(spark, table or path, spec)
     writer = (
         laid_out(df, spec)
         .write.mode(mode)
@@ -51,8 +66,10 @@ def write_table(
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
     piece = str(spec.target_file_bytes * SHUFFLE_TO_FILE)
-    with settings(df.sparkSession, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": piece}):
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": piece}):
         writer.parquet(path)
+    if anew:
+        keep_layout(spark, path, spec)
 
 
 # --- definitions -----------------------------------------------------------------------------

@@ -19,8 +19,6 @@ PERIOD_SECONDS = 60
 # --- end of fixed values ---
 
 SERIES = ("resource", "worker_type", "capacity_type")
-# Floating-point sums depend on the order of addition; results are reported to this precision.
-DIGITS = 6
 
 
 def minutes(metrics: DataFrame, start: datetime | str, end: datetime | str) -> DataFrame:
@@ -33,26 +31,22 @@ def minutes(metrics: DataFrame, start: datetime | str, end: datetime | str) -> D
     )
 
 
-def _unit_hours(per_minute: DataFrame) -> DataFrame:
-    hours = F.sum("value") * F.lit(PERIOD_SECONDS / 3600)
-    return per_minute.groupBy(*SERIES).agg(hours.alias("unit_hours"))
-
-
 def unit_hours(per_minute: DataFrame) -> DataFrame:
     """Unit-hours per series; a series without points has no row."""
-    return _unit_hours(per_minute).withColumn("unit_hours", F.round("unit_hours", DIGITS))
+    hours = F.sum("value") * F.lit(PERIOD_SECONDS / 3600)
+    return per_minute.groupBy(*SERIES).agg(hours.alias("unit_hours"))
 
 
 def rollup(per_minute: DataFrame) -> DataFrame:
     """Series above zero, resource totals and the grand total, in key order."""
-    totals = _unit_hours(per_minute).groupingSets(
+    totals = unit_hours(per_minute).groupingSets(
         [list(SERIES), ["resource"], []], *SERIES
     ).agg(F.grouping_id().alias("level"), F.sum("unit_hours").alias("unit_hours"))
     names = {0: "series", 3: "resource", 7: "total"}
     level = F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col("level").cast("int"))
     return (
         totals.filter((F.col("level") > 0) | (F.col("unit_hours") > 0))
-        .select(level.alias("level"), *SERIES, F.round("unit_hours", DIGITS).alias("unit_hours"))
+        .select(level.alias("level"), *SERIES, "unit_hours")
         .orderBy(*[F.col(c).asc_nulls_last() for c in SERIES])
     )
 
@@ -67,7 +61,7 @@ def cost(per_minute: DataFrame, region: str) -> DataFrame:
     spark = per_minute.sparkSession
     listed = ", ".join(f"('{resource}', {rate}D)" for resource, rate in RATES[region].items())
     card = spark.sql(f"SELECT * FROM VALUES {listed} AS card(resource, rate)")
-    used = _unit_hours(per_minute).groupBy("resource").agg(F.sum("unit_hours").alias("unit_hours"))
+    used = unit_hours(per_minute).groupBy("resource").agg(F.sum("unit_hours").alias("unit_hours"))
     priced = card.join(used, "resource", "left").select(
         "resource", F.coalesce("unit_hours", F.lit(0.0)).alias("unit_hours"), "rate"
     )
@@ -77,9 +71,4 @@ def cost(per_minute: DataFrame, region: str) -> DataFrame:
         F.when(F.grouping("resource") == 0, F.max("rate")).alias("rate"),
         F.sum("cost").alias("cost"),
     )
-    return total.select(
-        F.coalesce("resource", F.lit("TOTAL")).alias("resource"),
-        F.round("unit_hours", DIGITS).alias("unit_hours"),
-        "rate",
-        F.round("cost", DIGITS).alias("cost"),
-    )
+    return total.select(F.coalesce("resource", F.lit("TOTAL")).alias("resource"), "unit_hours", "rate", "cost")

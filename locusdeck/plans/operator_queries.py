@@ -18,7 +18,6 @@ from locusdeck.operators.normalise import annotations_of, merged, to_schema
 from locusdeck.plans import render, views
 from locusdeck.plans.catalogue import Query, shown
 from locusdeck.schemas import (
-    ANNOTATIONS_DEDUP_TABLE,
     CNV_TABLE,
     LOCUS,
     TABLES,
@@ -32,32 +31,37 @@ from locusdeck.session import new_folder, once
 from locusdeck.sources.archives import expand
 from locusdeck.sources.expression import read_tpm
 from locusdeck.sources.manifest import read_manifest
-from locusdeck.sources.tables import catalog_table, read_table
+from locusdeck.sources.tables import catalog_table, kept_layout, read_table, stored_layout
 from locusdeck.sources.vcf import parse_cnv, parse_variants
 from locusdeck.streaming.ingest import ingest_folder, read_batches
 
 # Rough Parquet bytes per row, to choose how fine a layout a table can fill.
-ROW_BYTES = {"variants": 60, "variants_by_sample": 60, "annotations": 30, "tpm": 20, "cnv": 40}
+ROW_BYTES = {
+    "variants": 60, "variants_by_sample": 60, "annotations": views.ANNOTATION_BYTES, "tpm": 20, "cnv": 40
+}
 
 WINDOW = (datetime(2024, 1, 5), datetime(2024, 1, 10))
+# Floating-point sums depend on the order of addition; the queries report them to this precision.
+DIGITS = 6
 
 
-def _fitted(spark: SparkSession, sf_dir: str, spec: TableSpec, table: str) -> TableSpec:
+def _fitted(spark: SparkSession, sf_dir: str, spec: TableSpec, table: str, least: int = 1) -> TableSpec:
     rows = views.source(spark, sf_dir, table).count()
-    return spec.fitted(rows * ROW_BYTES[spec.name])
+    return spec.fitted(rows * ROW_BYTES[spec.name], least=least)
 
 
 def stored_variants(
     spark: SparkSession, sf_dir: str, declared: TableSpec = VARIANTS_TABLE
 ) -> tuple[DataFrame, TableSpec]:
-    """Variants written in a layout, once per application and input."""
+    """Variants written in a layout, once per application and input, and the layout they are stored by."""
 
-    def make(path: str) -> tuple[str, TableSpec]:
-        spec = _fitted(spark, sf_dir, declared, "lineitem")
+    def make(path: str) -> str:
+        spec = _fitted(spark, sf_dir, declared, "lineitem", views.LEAST_PARTS)
         write_table(views.variants(spark, sf_dir), spec, path)
-        return path, spec
+        return path
 
-    path, spec = once(spark, sf_dir, declared.name, make)
+    path = once(spark, sf_dir, declared.name, make)
+    spec = stored_layout(spark, path, declared)
     return read_table(spark, path, spec), spec
 
 
@@ -237,11 +241,11 @@ def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_rank_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create the deduplicated table in the catalog, insert into it, read it back."""
-    spec = ANNOTATIONS_DEDUP_TABLE.fitted(views.source(spark, sf_dir, "part").count() * 30)
+    spec = views.dedup_layout(spark, sf_dir)
     path = new_folder(spark, "annotations_dedup")
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     create_table(spark, spec, name, location=path)
-    insert_into(dedup.by_rank(views.distinct_annotations(spark, sf_dir), copies=False), spec, name)
+    insert_into(dedup.by_rank(views.annotations(spark, sf_dir)), spec, name)
     return catalog_table(spark, name, spec)
 
 
@@ -271,14 +275,18 @@ def layout_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layout_bucket_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Samples and rows per hash bucket at the declared bucket counts."""
+    """Samples and rows of all hash buckets together, at the declared bucket counts."""
     per_sample = views.variants(spark, sf_dir).groupBy("sample_name").agg(F.count("*").alias("n"))
     counts = F.explode(F.array(*[F.lit(n) for n in (16, 64, 128, 4096)])).alias("buckets")
     by_bucket = per_sample.select("sample_name", "n", counts)
     bucket = F.pmod(F.hash("sample_name"), F.col("buckets")).alias("bucket")
-    return by_bucket.groupBy("buckets", bucket).agg(
+    sizes = by_bucket.groupBy("buckets", bucket).agg(
         F.count("*").alias("samples"), F.sum("n").alias("variant_rows")
     )
+    inside = F.min(F.col("bucket").between(0, F.col("buckets") - 1).cast("int"))
+    return sizes.groupBy("buckets").agg(
+        F.sum("samples").alias("samples"), F.sum("variant_rows").alias("variant_rows"), inside.alias("in_range")
+    )
 
 
 def layout_bucket_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,7 +308,7 @@ def write_read_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write_read(view, spec: TableSpec, table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        fitted = _fitted(spark, sf_dir, spec, table)
+        fitted = _fitted(spark, sf_dir, spec, table, views.LEAST_PARTS)
         path = new_folder(spark, spec.name)
         write_table(to_schema(view(spark, sf_dir), spec.schema), fitted, path)
         return read_table(spark, path, fitted).select(*spec.schema.names)
@@ -308,6 +316,24 @@ def _write_read(view, spec: TableSpec, table: str) -> Query:
     return query
 
 
+def layout_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a region or of two samples in a table that has grown by a far larger lot.
+
+    The layout is fitted to the first lot and kept with the table; the second lot is written in it.
+    """
+    path = new_folder(spark, "grown")
+    first = F.coalesce(F.col("l_quantity") >= 46, F.lit(False))
+    for lot in (first, ~first):
+        rows = views.variants(spark, sf_dir, where=lot)
+        layout = kept_layout(spark, path, VARIANTS_TABLE) or VARIANTS_TABLE.fitted(
+            rows.count() * ROW_BYTES["variants"], least=views.LEAST_PARTS
+        )
+        write_table(rows, layout, path)
+    layout = stored_layout(spark, path, VARIANTS_TABLE)
+    where = region("chr7", 100_000_000, 200_000_000, layout=layout) | of_samples(["S1", "S2"], layout=layout)
+    return shown(read_table(spark, path, layout).filter(where).select(*VARIANTS.names))
+
+
 def region_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, layout = stored_variants(spark, sf_dir)
     found = stored.filter(region("chr7", 100_000_000, 200_000_000, layout=layout))
@@ -349,17 +375,6 @@ def sorted_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- ingestion -------------------------------------------------------------------------------
 
 
-COHORT = 100
-
-
-def _cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Variants of COHORT samples, so that the number of files follows the number of rows."""
-    number = F.substring("sample_name", 2, 30).cast("long") % COHORT
-    return views.variants(spark, sf_dir).withColumn(
-        "sample_name", F.concat(F.lit("S"), number.cast("string"))
-    )
-
-
 def _vcf_files(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """A folder of VCF files per sample, as sequencing pipelines leave them."""
 
@@ -367,7 +382,7 @@ def _vcf_files(spark: SparkSession, sf_dir: str, kind: str) -> str:
         if kind == "cnv":
             records = render.cnv_records(views.cnv(spark, sf_dir))
         else:
-            records = render.variant_records(_cohort(spark, sf_dir))
+            records = render.variant_records(views.variants(spark, sf_dir))
         render.write_files(records, path)
         return path
 
@@ -395,8 +410,9 @@ def _ingested(
 
 def _files_per_batch(spark: SparkSession, sf_dir: str, batches: int) -> int:
     """A batch size that cuts the rendered files into a few batches."""
+    samples = views.source(spark, sf_dir, "supplier").count()
     rows = views.source(spark, sf_dir, "lineitem").count()
-    return max(1, (COHORT + rows // render.ROWS_PER_FILE) // batches)
+    return max(1, (samples + rows // render.ROWS_PER_FILE) // batches)
 
 
 def ingest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -435,20 +451,24 @@ def _minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.minutes(views.usage(spark, sf_dir), *WINDOW)
 
 
+def _rounded(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({name: F.round(name, DIGITS) for name in names})
+
+
 def usage_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _minutes(spark, sf_dir).withColumn("value", F.round("value", usage.DIGITS))
+    return _rounded(_minutes(spark, sf_dir), "value")
 
 
 def usage_unit_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usage.unit_hours(_minutes(spark, sf_dir))
+    return _rounded(usage.unit_hours(_minutes(spark, sf_dir)), "unit_hours")
 
 
 def usage_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usage.rollup(_minutes(spark, sf_dir))
+    return _rounded(usage.rollup(_minutes(spark, sf_dir)), "unit_hours")
 
 
 def usage_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usage.cost(_minutes(spark, sf_dir), "us-east-1")
+    return _rounded(usage.cost(_minutes(spark, sf_dir), "us-east-1"), "unit_hours", "cost")
 
 
 QUERIES: dict[str, Query] = {
@@ -479,6 +499,7 @@ QUERIES: dict[str, Query] = {
     "layout_keys": layout_keys,
     "layout_bucket_sizes": layout_bucket_sizes,
     "layout_bucket_rows": layout_bucket_rows,
+    "layout_append": layout_append,
     "write_read_variants": write_read_variants,
     "write_read_by_sample": write_read_by_sample,
     "by_sample_pruned": by_sample_pruned,

@@ -49,7 +49,8 @@ SELECT concat('S', CAST(s.s_suppkey AS VARCHAR)) AS sample_id, concat('ENSG', su
  CASE WHEN s.s_suppkey % 11 = 0 THEN NULL ELSE CAST(abs(s.s_acctbal) AS FLOAT) END AS expression,
  concat('tissue_', CAST(s.s_nationkey % 5 AS VARCHAR)) AS tissue, 'ds' AS dataset, 'v1' AS dataset_version,
  'GRCh38' AS genome_build, 'gencode' AS annotation, 'salmon' AS quant_method, 'TPM' AS unit
-FROM supplier s CROSS JOIN (SELECT DISTINCT p_brand FROM part) b"""
+FROM supplier s JOIN (SELECT DISTINCT l_suppkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey) b
+ ON s.s_suppkey = b.l_suppkey"""
 
 CNV = """
 SELECT concat('job', CAST(o_custkey % 10 AS VARCHAR)) AS importjobid, concat('S', CAST(o_custkey % 100 AS VARCHAR)) AS sampleid,
@@ -327,6 +328,13 @@ OPERATORS: dict[str, str] = {
         " CAST(floor(pos_start / 50000000.0) * 50000000 AS INT) AS pos_trunc_by_sample,"
         " CAST(floor(-pos_start / 5000000.0) * 5000000 AS INT) AS pos_trunc_negative FROM fx_variants"
     ),
+    "layout_bucket_sizes": over_views(
+        "SELECT b.buckets, count(DISTINCT sample_name) AS samples, count(*) AS variant_rows, CAST(1 AS INT) AS in_range"
+        " FROM fx_variants, (VALUES (16), (64), (128), (4096)) b(buckets) GROUP BY 1"
+    ),
+    "layout_append": _variant_rows(
+        "(contig = 'chr7' AND pos_start BETWEEN 100000000 AND 200000000) OR sample_name IN ('S1', 'S2')"
+    ),
     "layout_bucket_rows": over_views(
         "SELECT CAST(1 AS BIGINT) AS buckets, count(DISTINCT sample_name) AS samples,"
         " count(*) AS variant_rows, CAST(1 AS INT) AS in_range FROM fx_variants"
@@ -350,8 +358,7 @@ OPERATORS: dict[str, str] = {
         "SELECT count(*) AS checked_rows, CAST(0 AS BIGINT) AS violations FROM fx_variants"
     ),
     "ingest_batches": over_views(
-        "SELECT concat('S', CAST(CAST(substr(sample_name, 2) AS BIGINT) % 100 AS VARCHAR)) AS sample_name,"
-        " count(*) AS variant_rows, CAST(sum(read_depth) AS BIGINT) AS depth FROM fx_variants GROUP BY 1"
+        "SELECT sample_name, count(*) AS variant_rows, CAST(sum(read_depth) AS BIGINT) AS depth FROM fx_variants GROUP BY 1"
     ),
     "fanout_counts": over_views(
         "SELECT 'variants' AS name, count(*) AS n FROM fx_variants"

@@ -18,7 +18,7 @@ from locusdeck.operators.layout import write_table
 from locusdeck.operators.normalise import ANNOTATION_SOURCES
 from locusdeck.schemas import ANNOTATIONS_DEDUP_TABLE, CNV, TPM, VARIANTS, TableSpec
 from locusdeck.session import once
-from locusdeck.sources.tables import read_table
+from locusdeck.sources.tables import read_table, stored_layout
 
 # --- fixed values of the derivation ---
 NAMED_GENES = {
@@ -28,9 +28,13 @@ NAMED_GENES = {
     "Brand#4": "WASH8P",
     "Brand#5": "DNAH2",
 }
-BRANDS = 25
 # --- end of fixed values ---
 
+# Rough Parquet bytes of an annotation row.
+ANNOTATION_BYTES = 30
+# The derived tables are small; their stored forms keep so many parts per key all the same.
+LEAST_PARTS = 4
+
 
 _schemas: dict[tuple[str, str], StructType] = {}
 
@@ -163,33 +167,31 @@ def distinct_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_annotations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TableSpec]:
     """The deduplicated annotations as a stored table, and its layout.
 
-    Queries join to a table that the dedup job has written, so it is written once per
+    Queries join to a table that the dedup job has written from all annotation rows, so it is written once per
     application and input, in the shared folder, and read by every later query.
     """
 
-    def make(path: str) -> tuple[str, TableSpec]:
-        loci = source(spark, sf_dir, "part").count()
-        spec = ANNOTATIONS_DEDUP_TABLE.fitted(loci * 60)
-        write_table(dedup.by_rank(distinct_annotations(spark, sf_dir), copies=False), spec, path)
-        return path, spec
+    def make(path: str) -> str:
+        write_table(dedup.by_rank(annotations(spark, sf_dir)), dedup_layout(spark, sf_dir), path)
+        return path
 
-    path, spec = once(spark, sf_dir, "annotations_dedup", make)
+    path = once(spark, sf_dir, "annotations_dedup", make)
+    spec = stored_layout(spark, path, ANNOTATIONS_DEDUP_TABLE)
     return read_table(spark, path, spec), spec
 
 
+def dedup_layout(spark: SparkSession, sf_dir: str) -> TableSpec:
+    """The layout of a new table of deduplicated annotations."""
+    loci = source(spark, sf_dir, "part").count()
+    return ANNOTATIONS_DEDUP_TABLE.fitted(loci * ANNOTATION_BYTES, least=LEAST_PARTS)
+
+
 def tpm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per sample and gene; genes are the brands that occur among the parts."""
-    suppliers = source(spark, sf_dir, "supplier")
-    # At most BRANDS rows, whatever the number of parts.
-    used = source(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("brand")).agg(F.lit(1).alias("_one"))
-    listed = F.transform(
-        F.sequence(F.lit(1), F.lit(BRANDS)), lambda i: F.concat(F.lit("Brand#"), i.cast("string"))
-    )
-    pairs = suppliers.withColumn("brand", F.explode(listed)).join(
-        F.broadcast(used.filter(F.col("brand").isin([f"Brand#{i}" for i in range(1, BRANDS + 1)]))),
-        "brand",
-        "left_semi",
-    )
+    """One row per sample and gene that occur together in the variants."""
+    items = source(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
+    parts = source(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("brand"))
+    together = items.join(parts, F.col("l_partkey") == F.col("p_partkey")).select("l_suppkey", "brand").distinct()
+    pairs = together.join(source(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     number = F.substring("brand", 7, 100)
     columns = {
         "sample_id": F.concat(F.lit("S"), F.col("s_suppkey").cast("string")),

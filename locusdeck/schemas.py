@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+import json
+from dataclasses import asdict, dataclass, replace
 from math import ceil
 
 from pyspark.sql import types as T
@@ -124,11 +125,25 @@ class TableSpec:
                 return key
         return None
 
-    def fitted(self, table_bytes: int, contigs: int = 24, genome_span: int = 250_000_000) -> "TableSpec":
+    def layout_text(self) -> str:
+        """The partition keys as text, as they are kept with a stored table."""
+        return json.dumps([{"kind": type(key).__name__} | asdict(key) for key in self.partition_by])
+
+    def with_layout(self, text: str) -> "TableSpec":
+        """The same table under the partition keys of a ``layout_text``."""
+        kinds = {kind.__name__: kind for kind in (Truncate, Bucket, Identity)}
+        keys = [kinds[entry.pop("kind")](**entry) for entry in json.loads(text)]
+        return replace(self, partition_by=tuple(keys))
+
+    def fitted(
+        self, table_bytes: int, contigs: int = 24, genome_span: int = 250_000_000, least: int = 1
+    ) -> "TableSpec":
         """Coarser keys for a small table, so that a partition still fills a file.
 
         At full size the declared keys are kept; below that, buckets go first and
-        truncation widths grow until the number of partitions is what the bytes can fill.
+        truncation widths grow until the number of partitions is what the bytes can fill. A
+        truncated or bucketed key keeps ``least`` parts, or as many as are declared. A layout is chosen
+        once, for a new table; later lots are written in the one that is kept with the table.
         """
         room = max(1, ceil(table_bytes / self.target_file_bytes))
         if self.key(Identity):
@@ -136,12 +151,12 @@ class TableSpec:
         keys: list[PartitionKey] = []
         for key in self.partition_by:
             if isinstance(key, Truncate):
-                pieces = max(1, min(room, genome_span // key.width))
+                pieces = max(1, min(max(room, least), genome_span // key.width))
                 multiple = ceil(genome_span / pieces / key.width)
                 key = replace(key, width=key.width * max(1, multiple))
                 room = max(1, room // pieces)
             elif isinstance(key, Bucket):
-                count = max(1, min(room, key.count))
+                count = max(1, min(max(room, least), key.count))
                 key = replace(key, count=count)
                 room = max(1, room // count)
             keys.append(key)

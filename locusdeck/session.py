@@ -53,15 +53,23 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/locusdeck/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-_made: dict[tuple[str, ...], Any] = {}
+_made: dict[tuple, Any] = {}
+
+
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of what lies in a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found))
 
 
 def once(spark: SparkSession, source: str, name: str, make: Callable[[str], T]) -> T:
     """What ``make`` gives for a fresh folder, made once per application, input and name.
 
-    For written tables and files that several queries over the same input read.
+    For written tables and files that several queries over the same input read. It is made again
+    when a table of the input folder has changed in size or time.
     """
-    key = (spark.sparkContext.applicationId, shared_folder(spark), source, name)
+    key = (spark.sparkContext.applicationId, shared_folder(spark), source, _state(spark, source), name)
     if key not in _made:
         _made[key] = make(new_folder(spark, name))
     return _made[key]

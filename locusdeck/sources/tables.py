@@ -1,12 +1,60 @@
-"""Stored tables: Parquet folders in the declared layout, or catalog tables."""
+"""Stored tables: Parquet folders in the declared layout, or catalog tables.
+
+The partition keys that a folder was first written with are kept beside the data. Look-ups take
+them from there, as keys of another width or bucket count would miss rows.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from locusdeck.schemas import TableSpec
 
+# Readers of Parquet folders pass over names that begin like this.
+LAYOUT = "_layout.json"
+
+
+def _file(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def kept_layout(spark: SparkSession, path: str, spec: TableSpec) -> TableSpec | None:
+    """``spec`` under the partition keys kept with the table at ``path``; None if none are kept."""
+    place, files = _file(spark, f"{path}/{LAYOUT}")
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return spec.with_layout(text)
+
+
+def stored_layout(spark: SparkSession, path: str, spec: TableSpec) -> TableSpec:
+    """The layout to look rows up with: the kept one, or ``spec`` for a table that keeps none."""
+    return kept_layout(spark, path, spec) or spec
+
+
+def keep_layout(spark: SparkSession, path: str, spec: TableSpec) -> None:
+    """Keep the partition keys of a new table; an error if the table is stored by others."""
+    place, files = _file(spark, f"{path}/{LAYOUT}")
+    if not files.exists(place):
+        draft, _ = _file(spark, f"{path}/{LAYOUT}.{uuid.uuid4().hex}")
+        stream = files.create(draft, False)
+        try:
+            stream.write(bytearray(spec.layout_text(), "utf-8"))
+        finally:
+            stream.close()
+        files.rename(draft, place)
+    kept = kept_layout(spark, path, spec)
+    if kept is None or kept.partition_by != spec.partition_by:
+        raise ValueError(f"{path} is stored by {kept and kept.layout_text()}, not by {spec.layout_text()}")
+
 
 def read_table(
     spark: SparkSession, path: str, spec: TableSpec, extra: T.StructType | None = None

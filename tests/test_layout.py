@@ -12,8 +12,8 @@ from locusdeck.plans import views
 from locusdeck.schemas import (
     ANNOTATIONS_TABLE, TABLES, VARIANTS, VARIANTS_BY_SAMPLE, VARIANTS_TABLE, Bucket, Identity, TableSpec, Truncate,
 )
-from locusdeck.session import shared_folder
-from locusdeck.sources.tables import catalog_table, read_table
+from locusdeck.session import once, shared_folder
+from locusdeck.sources.tables import catalog_table, kept_layout, read_table, stored_layout
 
 SMALL = TableSpec(
     name="variants",
@@ -51,6 +51,55 @@ def test_fitted_layout_follows_the_size():
     assert 5_000_000 < middle.key(Truncate).width < 250_000_000
 
 
+def test_fitted_layout_keeps_the_least_parts():
+    small = VARIANTS_TABLE.fitted(1, least=4)
+    assert small.key(Bucket).count == 4 and 250_000_000 / small.key(Truncate).width > 3
+    assert VARIANTS_TABLE.fitted(10**14, least=4) == VARIANTS_TABLE
+
+
+def test_layout_is_kept_with_the_table(spark, tmp_path):
+    path = str(tmp_path / "grown")
+    fine = SMALL.with_layout(VARIANTS_TABLE.fitted(1, least=4).layout_text())
+    assert kept_layout(spark, path, SMALL) is None and stored_layout(spark, path, SMALL) == SMALL
+    assert SMALL.with_layout(SMALL.layout_text()) == SMALL
+    variants = views.variants(spark, SF_DIR)
+    layout.write_table(variants.filter("genotype = '0/0'"), SMALL, path)
+    with pytest.raises(ValueError, match="is stored by"):
+        layout.write_table(variants.filter("genotype <> '0/0'"), fine, path)
+    layout.write_table(variants.filter("genotype <> '0/0'"), stored_layout(spark, path, fine), path)
+    # A reader that only knows the declared layout finds every row.
+    found = stored_layout(spark, path, VARIANTS_TABLE)
+    assert found.partition_by == SMALL.partition_by
+    back = read_table(spark, path, found).select(*VARIANTS.names, *found.partition_names)
+    for where, plain in (
+        (region("chr7", 100_000_000, 200_000_000, layout=found), region("chr7", 100_000_000, 200_000_000)),
+        (of_samples(["S1", "S2"], layout=found), of_samples(["S1", "S2"])),
+    ):
+        assert rows(back.filter(where).select(*VARIANTS.names)) == rows(variants.filter(plain))
+    # Overwriting the whole table may change its layout.
+    layout.write_table(variants, fine, path, mode="overwrite")
+    assert stored_layout(spark, path, VARIANTS_TABLE).partition_by == fine.partition_by
+
+
+def test_shared_tables_follow_their_input(spark, tmp_path):
+    made = []
+    make = lambda path: made.append(path) or path
+    (tmp_path / "a").write_text("1")
+    first = once(spark, str(tmp_path), "t", make)
+    assert once(spark, str(tmp_path), "t", make) == first
+    (tmp_path / "a").write_text("12")
+    assert once(spark, str(tmp_path), "t", make) != first and len(made) == 2
+
+
+def test_expression_pairs_take_any_gene(spark, tmp_path):
+    for table in ("lineitem", "supplier"):
+        spark.read.parquet(f"{SF_DIR}/{table}.parquet").write.parquet(str(tmp_path / f"{table}.parquet"))
+    parts = spark.read.parquet(f"{SF_DIR}/part.parquet")
+    changed = parts.withColumn("p_brand", F.when(F.col("p_partkey") % 10 == 0, "Brand#26").otherwise(F.col("p_brand")))
+    changed.write.parquet(str(tmp_path / "part.parquet"))
+    assert views.tpm(spark, str(tmp_path)).filter("gene_symbol = 'GENE_26'").count() > 0
+
+
 def test_truncation_floors_and_buckets_agree(spark):
     df = spark.createDataFrame([(-1,), (0,), (4_999_999,), (5_000_000,)], "p int")
     assert [r[0] for r in df.select(truncated("p", 5_000_000)).collect()] == [-5_000_000, 0, 0, 5_000_000]
