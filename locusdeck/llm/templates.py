@@ -4,9 +4,10 @@ A line's tokens that hold digits are variable fields. The tree has a fixed depth
 DEPTH leading tokens. In a leaf, the tail is cut into QUARTERS parts and each part in turn is generalised to a wild
 card: lines that differ in one part only share a template. Grouping by template counts, for
 each, the different texts and the families they come from. A document's family is the least leaf
-of its other lines, so that copies of one document are one family. A template recurs if enough
-families hold it and no family has more than half of the texts: a line that is repeated because
-its whole document is copied is left to document dedup.
+of its other lines, so that copies of one document are one family. Texts whose lines are all of one leaf have no
+family: such a line is the whole document, so all of them count as one text of one family. A template
+recurs if enough families hold it and no family has more than half of the texts: a line that is repeated
+because its whole document is copied is left to document dedup.
 
 Defined results: lines of fewer than ``min_tokens`` tokens, blank ones among them, always stay; shorter lines need
 ``short_docs`` families instead of ``min_docs``; a NULL text stays NULL, a text that loses all lines becomes
@@ -66,7 +67,7 @@ def _parsed(line: Column, depth: int) -> Column:
 
 
 def parsed_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """(doc_id, text_hash, pos, n, family, keys) of every line that counts."""
+    """(doc_id, text_hash, pos, n, family, keys) of every line that counts; family is NULL where no other leaf is."""
     per_doc = docs.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), F.transform(F.split("text", "\n"), lambda x: _parsed(x, depth)).alias("lines")
     )
@@ -74,7 +75,7 @@ def parsed_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKE
     least = per_doc.withColumn("least", F.slice(F.array_sort(F.array_distinct(leaves)), 1, 2))
     lines = least.select("doc_id", "text_hash", "least", F.posexplode("lines").alias("pos", "line")).filter(F.col("line.n") >= min_tokens)
     first, second = F.get("least", F.lit(0)), F.get("least", F.lit(1))
-    family = F.coalesce(F.when(F.col("line.leaf") == first, second).otherwise(first), F.col("text_hash"))
+    family = F.when(F.col("line.leaf") == first, second).otherwise(first)
     return lines.select("doc_id", "text_hash", "pos", F.col("line.n").alias("n"), family.alias("family"), F.col("line.keys").alias("keys"))
 
 
@@ -82,9 +83,12 @@ def recurring(lines: DataFrame, min_docs: int = MIN_DOCS, short_docs: int = SHOR
     """(key, texts) of the templates that recur."""
     texts = lines.select(F.explode("keys").alias("key"), "family", "text_hash", (F.col("n") >= FULL_TOKENS).alias("full")).distinct()
     families = texts.groupBy("key", "full", "family").agg(F.count("*").alias("c"))
-    spread = families.groupBy("key", "full").agg(F.sum("c").alias("texts"), F.max("c").alias("top"), F.count("*").alias("families"))
+    counted = F.when(F.col("family").isNull(), 1).otherwise(F.col("c"))
+    spread = families.groupBy("key", "full").agg(
+        F.sum("c").alias("texts"), F.sum(counted).alias("counted"), F.max(counted).alias("top"), F.count("*").alias("families")
+    )
     enough = F.when(F.col("full"), min_docs).otherwise(short_docs)
-    return spread.filter((F.col("families") >= enough) & (F.col("top") * 2 <= F.col("texts"))).select("key", "texts")
+    return spread.filter((F.col("families") >= enough) & (F.col("top") * 2 <= F.col("counted"))).select("key", "texts")
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, short_docs: int = SHORT_DOCS, depth: int = DEPTH) -> DataFrame:

@@ -92,6 +92,15 @@ def test_recurring_templates_go(docs):
     assert {r["text"] for r in templates.without_recurring(docs(similar)).collect()} == set(own[:4])
 
 
+def test_near_copies_of_one_line_stay(docs):
+    rnd = random.Random(12)
+    line, passage, own = prose(rnd, 200), prose(rnd, 60), [prose(rnd, 40) for _ in range(3)]
+    copies = [(i, " ".join([*line.split()[:-1], f"end{chr(97 + i)}"])) for i in range(9)]
+    rows = copies + [(20 + i, f"{t}\n{passage}") for i, t in enumerate(own)] + [(30, passage), (31, passage)]
+    left = {(r["doc_id"], r["text"]) for r in templates.without_recurring(docs(rows)).collect()}
+    assert left == set(copies) | {(20 + i, t) for i, t in enumerate(own)} | {(30, ""), (31, "")}
+
+
 def _spots(text):
     common, out = set(spots.ANCHORS), set()
     w = text.lower().split()
