@@ -47,6 +47,13 @@ def mentions(column: str, word: str) -> Column:
     return F.lower(F.col(column)).like(f"%{word}%")
 
 
+def on_contig(contig: str, *, column: str = "contig", layout: TableSpec | None = None) -> Column:
+    """Rows of one contig; on a stored table only its folders are read."""
+    found = F.col(column) == contig
+    key = layout.key(Identity, column) if layout else None
+    return found & (F.col(key.name) == contig) if key else found
+
+
 def region(
     contig: str,
     low: int,
@@ -64,12 +71,9 @@ def region(
     name, position = columns
     at = F.col(position)
     upper = at < high if half_open else at <= high
-    found = (F.col(name) == contig) & (at >= low) & upper
+    found = on_contig(contig, column=name, layout=layout) & (at >= low) & upper
     if layout is None:
         return found
-    by_name = layout.key(Identity, name)
-    if by_name:
-        found = found & (F.col(by_name.name) == contig)
     by_position = layout.key(Truncate, position)
     if by_position:
         last = high - 1 if half_open else high

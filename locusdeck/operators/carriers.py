@@ -70,5 +70,5 @@ def rows_by_annotation(
         total = F.sum("_rows")
     else:
         total = F.count("*")
-    joined = locus_join(variants, annotations, even=count_first, fits=fits)
+    joined = locus_join(variants, annotations, fits=fits)
     return joined.groupBy(F.col(f"a_{group}").alias(group)).agg(total.alias(name))

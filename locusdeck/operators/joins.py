@@ -2,8 +2,10 @@
 
 ``auto`` measures the filtered dimension with one aggregate over its own small columns. Within
 a byte bound it is broadcast and the fact table is not shuffled at all. Beyond the bound both
-sides are shuffled by locus, and loci that hold more than one task's share of the fact rows
-are spread over many tasks.
+sides are shuffled by locus, and adaptive execution splits the partitions of hot loci: no pass over the
+fact rows comes before the join. ``salt`` asks for that pass, for sessions without adaptive execution
+or joins whose output partitioning a later step relies on: loci that hold more than one task's share
+of the fact rows are found and spread over many tasks.
 """
 
 from __future__ import annotations
@@ -94,13 +96,11 @@ def join_dimension(
     keys: Sequence[str],
     strategy: str = "auto",
     limit: int = BROADCAST_BYTES,
-    even: bool = False,
     fits: bool | None = None,
 ) -> DataFrame:
     """Inner join on equally named ``keys`` under one of STRATEGIES.
 
     ``broadcast`` asks for a broadcast but keeps the bound: a dimension beyond it is shuffled.
-    ``even`` says that the fact side has one row per key, so nothing needs to be salted;
     ``fits`` is the outcome of ``fits_broadcast`` where the caller has asked already.
     """
     if strategy not in STRATEGIES:
@@ -108,9 +108,9 @@ def join_dimension(
     if strategy in ("auto", "broadcast"):
         if fits if fits is not None else fits_broadcast(dimension, limit):
             return fact.join(F.broadcast(dimension), list(keys))
-    if strategy == "shuffle" or (even and strategy != "salt"):
-        return fact.join(dimension.hint("merge"), list(keys))
-    return salted_join(fact, dimension, keys)
+    if strategy == "salt":
+        return salted_join(fact, dimension, keys)
+    return fact.join(dimension.hint("merge"), list(keys))
 
 
 def locus_join(
@@ -118,7 +118,6 @@ def locus_join(
     annotations: DataFrame,
     strategy: str = "auto",
     limit: int = BROADCAST_BYTES,
-    even: bool = False,
     fits: bool | None = None,
     layout: TableSpec | None = None,
 ) -> DataFrame:
@@ -140,7 +139,7 @@ def locus_join(
         if key.column in LOCUS:
             dimension = dimension.withColumn(key.name, key_column(key))
             keys.append(key.name)
-    return join_dimension(variants, dimension, keys, strategy, limit, even, fits)
+    return join_dimension(variants, dimension, keys, strategy, limit, fits)
 
 
 def joined_counts(

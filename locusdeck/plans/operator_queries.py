@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from locusdeck.operators.joins import locus_join
 from locusdeck.operators.layout import create_table, insert_into, ranged, sort_violations, write_table
 from locusdeck.operators.normalise import annotations_of, merged, to_schema
 from locusdeck.plans import render, views
-from locusdeck.plans.catalogue import Query, shown
+from locusdeck.plans.catalogue import LOOKUPS, QUESTIONS, Question, shown
 from locusdeck.schemas import (
     CNV_TABLE,
     LOCUS,
@@ -35,6 +36,8 @@ from locusdeck.sources.tables import catalog_table, kept_layout, read_table, sto
 from locusdeck.sources.vcf import parse_cnv, parse_variants
 from locusdeck.streaming.ingest import ingest_folder, read_batches
 
+Query = Callable[[SparkSession, str], DataFrame]
+
 # Rough Parquet bytes per row, to choose how fine a layout a table can fill.
 ROW_BYTES = {
     "variants": 60, "variants_by_sample": 60, "annotations": views.ANNOTATION_BYTES, "tpm": 20, "cnv": 40
@@ -65,6 +68,34 @@ def stored_variants(
     return read_table(spark, path, spec), spec
 
 
+class _Derived:
+    """``Tables`` of the derived views, each made when a question asks for it; ``stored``: variants as stored."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: bool):
+        self._source, self._stored = (spark, sf_dir), stored
+
+    @cached_property
+    def _variants(self) -> tuple[DataFrame, TableSpec | None]:
+        return stored_variants(*self._source) if self._stored else (views.variants(*self._source), None)
+
+    @cached_property
+    def _annotations(self) -> tuple[DataFrame, TableSpec]:
+        return views.stored_annotations(*self._source)
+
+    variants = property(lambda self: self._variants[0])
+    variants_layout = property(lambda self: self._variants[1])
+    annotations = property(lambda self: self._annotations[0])
+    annotations_layout = property(lambda self: self._annotations[1])
+    expression = property(lambda self: views.tpm(*self._source))
+
+
+def _asked(question: Question, stored: bool) -> Query:
+    return lambda spark, sf_dir: question(_Derived(spark, sf_dir, stored))
+
+
+NAMED: dict[str, Query] = {name: _asked(question, name in LOOKUPS) for name, question in QUESTIONS.items()}
+
+
 # --- scans, projections, predicates ----------------------------------------------------------
 
 

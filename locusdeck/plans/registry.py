@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from locusdeck.plans import catalogue, operator_queries, oracle
+from locusdeck.plans import operator_queries, oracle
 
-QUERIES = {**catalogue.QUERIES, **operator_queries.QUERIES}
+QUERIES = {**operator_queries.NAMED, **operator_queries.QUERIES}
 ORACLE = {**oracle.CATALOGUE, **oracle.OPERATORS}

@@ -14,6 +14,8 @@ from locusdeck.operators import dedup
 from locusdeck.operators.carriers import carriers
 from locusdeck.operators.joins import locus_join
 from locusdeck.plans import registry, render, views
+from locusdeck.plans.catalogue import QUESTIONS
+from locusdeck.plans.tables import Tables
 from locusdeck.schemas import ANNOTATIONS, TABLES, VARIANTS
 from locusdeck.streaming import ingest
 
@@ -47,7 +49,7 @@ def archives(spark, folder):
     return paths
 
 
-def test_answers_from_ingested_archives(spark, tmp_path):
+def test_answers_from_ingested_archives(spark, plan, tmp_path):
     paths = archives(spark, tmp_path)
     manifest = tmp_path / "manifest.jsonl"
     manifest.write_text("\n\n".join(json.dumps({"path": p}) for p in reversed(paths)))
@@ -72,3 +74,9 @@ def test_answers_from_ingested_archives(spark, tmp_path):
     joined = locus_join(variants.filter(quality()), known, layout=SPECS["variants"])
     groups = [F.col("a_symbol").alias("gene"), F.col("a_pathogenicity").alias("pathogenicity")]
     assert rows(carriers(joined, groups)) == rows(registry.QUERIES["S8"](spark, SF_DIR))
+
+    # The named questions are functions of a cohort's own tables.
+    mine = Tables(variants=variants, annotations=loci, variants_layout=SPECS["variants"])
+    for name in ("Q1", "Q3", "Q4", "Q12", "Q18", "S1", "S10", "E1"):
+        assert rows(QUESTIONS[name](mine)) == rows(registry.QUERIES[name](spark, SF_DIR)), name
+    assert "contig_part" in plan(QUESTIONS["Q1"](mine)).split("PartitionFilters: [", 1)[1].split("]")[0]

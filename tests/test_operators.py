@@ -136,6 +136,29 @@ def test_hot_key_is_found_and_spread(spark):
     assert joined.filter("k = 'hot'").count() == fact.filter("k = 'hot'").count()
 
 
+def test_hot_keys_are_split_at_run_time(spark, plan):
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    before = {name: spark.conf.get(name, None) for name in small}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        third = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+        fact = spark.range(0, 200_000, 1, 8).select(third.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        dim = spark.range(-1, 200_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        joined = joins.join_dimension(fact, dim, ["k"], limit=10)
+        assert len(joined.collect()) == 200_000
+        assert "SortMergeJoin(skew=true)" in plan(joined)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_broadcast_keeps_to_its_bound(spark, plan):
     # Spark's own threshold must not decide here.
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -147,7 +170,8 @@ def test_broadcast_keeps_to_its_bound(spark, plan):
         beyond = plan(joins.join_dimension(fact, dim, ["k", "j"], "broadcast", limit=10))
         assert "SortMergeJoin" in beyond and "BroadcastHashJoin" not in beyond
         one = dim.filter("j = 0").drop("j")
-        assert "_salt" in plan(joins.join_dimension(fact, one, ["k"], "broadcast", limit=10))
+        assert "_salt" in plan(joins.join_dimension(fact, one, ["k"], "salt"))
+        assert "_salt" not in plan(joins.join_dimension(fact, one, ["k"], limit=10))
         shuffled = plan(joins.join_dimension(fact, dim, ["k", "j"], "shuffle"))
         assert "SortMergeJoin" in shuffled and "BroadcastHashJoin" not in shuffled
     finally:
