@@ -3,11 +3,16 @@
 A line's tokens that hold digits are variable fields. The tree has a fixed depth: number of tokens, then the
 DEPTH leading tokens. In a leaf, the tail is cut into QUARTERS parts and each part in turn is generalised to a wild
 card: lines that differ in one part only share a template. Grouping by template counts, for
-each, the different texts and the families they come from. A document's family is the least leaf
-of its other lines, so that copies of one document are one family. Texts whose lines are all of one leaf have no
-family: such a line is the whole document, so all of them count as one text of one family. A template
-recurs if enough families hold it and no family has more than half of the texts: a line that is repeated
-because its whole document is copied is left to document dedup.
+each, the different texts and the families they come from. A text's family is the rarest of its lines of other
+leaves, so that copies of one document are one family and texts that only share boilerplate are not. A line is as rare
+as the commonest of its parts (runs of PART tokens from both ends), so edits that leave a part whole make no new
+family; in a text with more lines of common and rare parts than lines of its own, edits are taken to be everywhere, and all
+of the former together give the family. Texts whose lines are all of one leaf have no family: such a line is the whole document, so all of them
+count as one family.
+
+A template recurs if enough families hold it, however many texts each of them has. A family with more than half
+of the texts is taken for copies of one document, which are left to document dedup: the texts with a part of its rarest line
+keep the template's lines and count as one family; all others lose them.
 
 Defined results: lines of fewer than ``min_tokens`` tokens, blank ones among them, always stay; shorter lines need
 ``short_docs`` families instead of ``min_docs``; a NULL text stays NULL, a text that loses all lines becomes
@@ -19,10 +24,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locusdeck.llm.shared import BROADCAST_BYTES, attach, cut, fits, let
+from locusdeck.llm.components import components
+from locusdeck.llm.shared import BROADCAST_BYTES, attach, bounded, cut, fits, indices, let
 
 DEPTH = 3
 QUARTERS = 4
+#: A line's parts: tokens of each, and the most from either end.
+PART, PARTS = 5, 4
 MIN_DOCS, SHORT_DOCS = 3, 30
 MIN_TOKENS, FULL_TOKENS = 3, 8
 WILD = "<*>"
@@ -34,7 +42,7 @@ def _masked(line: Column) -> Column:
 
 
 def _parsed(line: Column, depth: int) -> Column:
-    """Token count, leaf and template keys of a line."""
+    """Token count, leaf, hashes of parts, and template keys of a line."""
     trimmed = F.btrim(line, F.lit(" \t\r\f\x0b"))
     tokens = F.split(_masked(trimmed), r"\s+")
 
@@ -60,46 +68,131 @@ def _parsed(line: Column, depth: int) -> Column:
             whole = F.array(F.xxhash64(leaf, F.lit("whole"), F.xxhash64(t)))
             return F.when(n >= FULL_TOKENS, let(parts, generalised)).otherwise(whole)
 
-        return let(leaf, lambda x: F.struct(n.alias("n"), x.alias("leaf"), templates(x).alias("keys")))
+        k = F.greatest(F.least(n, F.lit(MIN_TOKENS)), F.least(F.floor(n / 2).cast("int"), F.lit(PART)))
+        each = indices(F.least(F.lit(PARTS), F.floor(n / k).cast("int")))
+        heads = F.transform(each, lambda j: F.xxhash64(F.slice(t, j * k + 1, k)))
+        tails = F.transform(each, lambda j: F.xxhash64(F.slice(t, n - (j + 1) * k + 1, k)))
+        parts = F.array_distinct(F.concat(heads, tails))
+        return let(leaf, lambda x: F.struct(n.alias("n"), x.alias("leaf"), parts.alias("parts"), templates(x).alias("keys")))
 
-    blank = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("leaf"), F.array().cast("array<long>").alias("keys"))
+    none = F.array().cast("array<long>")
+    blank = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("leaf"), none.alias("parts"), none.alias("keys"))
     return F.when(trimmed == "", blank).otherwise(let(tokens, keyed))
 
 
 def parsed_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """(doc_id, text_hash, pos, n, family, keys) of every line that counts; family is NULL where no other leaf is."""
+    """(doc_id, text_hash, pos, n, leaf, parts, keys) of every line that counts."""
     per_doc = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.transform(F.split("text", "\n"), lambda x: _parsed(x, depth)).alias("lines")
+        "doc_id", F.xxhash64("text").alias("text_hash"),
+        F.posexplode(F.transform(F.split("text", "\n"), lambda x: _parsed(x, depth))).alias("pos", "line"),
+    )
+    return per_doc.filter(F.col("line.n") >= min_tokens).select("doc_id", "text_hash", "pos", "line.*")
+
+
+def _families(lines: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(text_hash, first, second): the rarest line of each of ``texts``, and the rarest of another leaf; (node, root) of parts.
+
+    Both lines have ``rows``, ``id`` and ``leaf``. A part in one text only counts no rows, others as many as hold it;
+    the commonest part stands for a line. Parts of a rarest line that are about as common are one, so that copies
+    with different edits have the same id.
+    """
+    spread = lines.select("text_hash", F.explode("parts").alias("part")).groupBy("part").agg(
+        F.count("*").alias("n"), F.min("text_hash").alias("low"), F.max("text_hash").alias("high")
     )
-    leaves = F.transform(F.filter("lines", lambda x: x["n"] >= min_tokens), lambda x: x["leaf"])
-    least = per_doc.withColumn("least", F.slice(F.array_sort(F.array_distinct(leaves)), 1, 2))
-    lines = least.select("doc_id", "text_hash", "least", F.posexplode("lines").alias("pos", "line")).filter(F.col("line.n") >= min_tokens)
-    first, second = F.get("least", F.lit(0)), F.get("least", F.lit(1))
-    family = F.when(F.col("line.leaf") == first, second).otherwise(first)
-    return lines.select("doc_id", "text_hash", "pos", F.col("line.n").alias("n"), family.alias("family"), F.col("line.keys").alias("keys"))
-
-
-def recurring(lines: DataFrame, min_docs: int = MIN_DOCS, short_docs: int = SHORT_DOCS) -> DataFrame:
-    """(key, texts) of the templates that recur."""
-    texts = lines.select(F.explode("keys").alias("key"), "family", "text_hash", (F.col("n") >= FULL_TOKENS).alias("full")).distinct()
-    families = texts.groupBy("key", "full", "family").agg(F.count("*").alias("c"))
+    shared = cut(spread.filter("low != high").select("part", "n", F.col("n").alias("rows")))
+    own = lines.select("text_hash", "leaf", "parts").distinct().join(bounded(texts, 16), "text_hash", "left_semi")
+    each = own.select("text_hash", "leaf", F.xxhash64("leaf", "parts").alias("line"), F.explode("parts").alias("part"))
+    if fits(shared, 32):
+        found = each.join(F.broadcast(shared.drop("n")), "part", "left")
+    else:
+        found = attach(each, shared, "part", "n")
+    held = F.struct(F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), "part")
+    per_line = found.groupBy("text_hash", "leaf", "line").agg(F.sort_array(F.collect_list(held), False).alias("parts"))
+    top = F.get("parts", F.lit(0))
+    like = F.filter("parts", lambda x: (x["rows"] > 0) & (x["rows"] * 2 >= top["rows"]))
+    line = F.struct(
+        top["rows"].alias("rows"), top["part"].alias("id"), "leaf", F.transform(like, lambda x: x["part"]).alias("like"),
+        (F.size("parts") > F.size(like)).alias("mixed"),
+    )
+    ranked = per_line.groupBy("text_hash").agg(F.array_sort(F.collect_set(line)).alias("all"))
+    # An edited copy has more lines of common and rare parts than lines of its own: the former, taken together, are its family.
+    mixed = F.filter("all", lambda x: (x["rows"] > 0) & x["mixed"])
+    own_lines = F.size(F.filter("all", lambda x: x["rows"] == 0))
+    edited = (own_lines > 0) & (F.size(mixed) > own_lines)
+    first = F.get("all", F.lit(0))
+    other = F.get(F.filter("all", lambda x: x["leaf"] != first["leaf"]), F.lit(0))
+    one = F.get(mixed, F.lit(0)).withField("like", F.flatten(F.transform(mixed, lambda x: x["like"])))
+    least = cut(
+        ranked.select("text_hash", F.when(edited, one).otherwise(first).alias("first"), F.when(edited, one).otherwise(other).alias("second"))
+    )
+    both = least.select(F.explode(F.array("first", "second")).alias("x")).select(F.col("x.id").alias("a"), F.explode("x.like").alias("b"))
+    roots = cut(components(both))
+    for name in ("first", "second"):
+        known = bounded(roots, 24).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+        one = F.struct(F.coalesce("_root", f"{name}.id").alias("id"), f"{name}.leaf")
+        least = least.join(known, F.col(f"{name}.id") == F.col("_node"), "left").withColumn(name, one).drop("_node", "_root")
+    return least, roots
+
+
+def _holders(lines: DataFrame, majors: DataFrame, roots: DataFrame) -> DataFrame:
+    """(text_hash, major): the texts with a part that gives one of the families ``majors``."""
+    wanted = majors.select("major").distinct()
+    nodes = roots.join(bounded(wanted, 16), F.col("root") == F.col("major")).select(F.col("node").alias("part"), "major")
+    nodes = nodes.unionByName(wanted.select(F.col("major").alias("part"), "major")).distinct()
+    parts = lines.select("text_hash", F.explode("parts").alias("part"))
+    return parts.join(bounded(nodes, 24), "part").select("text_hash", "major").distinct()
+
+
+def recurring(
+    lines: DataFrame, held: DataFrame, min_docs: int = MIN_DOCS, short_docs: int = SHORT_DOCS
+) -> tuple[DataFrame, DataFrame]:
+    """(key, texts, major) of the templates that recur, and (text_hash, major) of the texts they are left alone in.
+
+    ``held`` has (text_hash, key, leaf, full) of the lines in question.
+    """
+    rows = held.distinct()
+    families, roots = _families(lines, rows.select("text_hash").distinct())
+    family = F.when(F.col("leaf") == F.col("first.leaf"), F.col("second.id")).otherwise(F.col("first.id"))
+    texts = cut(rows.join(bounded(families, 64), "text_hash").select("key", "full", family.alias("family"), "text_hash"))
+    counts = texts.groupBy("key", "full", "family").agg(F.count("*").alias("c"))
     counted = F.when(F.col("family").isNull(), 1).otherwise(F.col("c"))
-    spread = families.groupBy("key", "full").agg(
-        F.sum("c").alias("texts"), F.sum(counted).alias("counted"), F.max(counted).alias("top"), F.count("*").alias("families")
+    spread = counts.groupBy("key", "full").agg(
+        F.sum("c").alias("texts"), F.sum(counted).alias("counted"), F.max(F.struct(counted.alias("c"), "family")).alias("top"),
+        F.count("*").alias("families"),
     )
     enough = F.when(F.col("full"), min_docs).otherwise(short_docs)
-    return spread.filter((F.col("families") >= enough) & (F.col("top") * 2 <= F.col("counted"))).select("key", "texts")
+    major = F.when(F.col("top.c") * 2 > F.col("counted"), F.col("top.family"))
+    known = cut(spread.filter(F.col("families") >= enough).select("key", "full", "texts", major.alias("major")))
+    majors = known.filter("major IS NOT NULL")
+    spared = cut(_holders(lines, majors, roots))
+    # The majority's texts are one family, by whichever other lines they differ.
+    others = texts.join(bounded(majors.select("key", "major"), 24), "key").join(
+        bounded(spared, 24), ["text_hash", "major"], "left_anti"
+    )
+    others = others.select("key", "family").distinct().groupBy("key").agg(F.count("*").alias("others"))
+    kept = majors.join(others, "key").filter(F.col("others") + 1 >= enough)
+    columns = ["key", "texts", "major"]
+    return known.filter("major IS NULL").select(columns).unionByName(kept.select(columns)), spared
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, short_docs: int = SHORT_DOCS, depth: int = DEPTH) -> DataFrame:
     """(doc_id, text_hash, positions) of documents with lines to drop; positions count from 0."""
     lines = cut(parsed_lines(docs, depth))
-    known = cut(recurring(lines, min_docs, short_docs))
-    own = lines.select("doc_id", "text_hash", "pos", F.explode("keys").alias("key"))
-    if fits(known, 24):
-        marked = own.join(F.broadcast(known.select("key")), "key", "left_semi")
+    own = lines.select("doc_id", "text_hash", "pos", "leaf", (F.col("n") >= FULL_TOKENS).alias("full"), F.explode("keys").alias("key"))
+    # A template in fewer rows than the lower bar cannot recur.
+    often = cut(own.groupBy("key").agg(F.count("*").alias("rows")).filter(F.col("rows") >= min(min_docs, short_docs)))
+    if fits(often, 24):
+        held = own.join(F.broadcast(often.select("key")), "key", "left_semi")
+    else:
+        held = attach(own, often.withColumn("hit", F.lit(True)), "key", "rows").filter("hit").drop("hit")
+    held = cut(held)
+    known, spared = recurring(lines, held.select("text_hash", "key", "leaf", "full"), min_docs, short_docs)
+    known = cut(known)
+    if fits(known, 32):
+        marked = held.join(F.broadcast(known.select("key", "major")), "key")
     else:
-        marked = attach(own, known.withColumn("hit", F.lit(True)), "key", "texts").filter("hit")
+        marked = attach(held, known.withColumn("hit", F.lit(True)), "key", "texts").filter("hit")
+    marked = marked.join(bounded(spared, 24), ["text_hash", "major"], "left_anti")
     return marked.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("positions"))
 
 

@@ -101,6 +101,29 @@ def test_near_copies_of_one_line_stay(docs):
     assert left == set(copies) | {(20 + i, t) for i, t in enumerate(own)} | {(30, ""), (31, "")}
 
 
+def test_one_family_of_copies_does_not_outvote_the_others(docs):
+    rnd = random.Random(31)
+    passage, own = prose(rnd, 40), [prose(rnd, 30) for _ in range(6)]
+    body = [prose(rnd, 30) for _ in range(4)]
+    copies = []
+    for i in range(20):  # near copies: one word of one line changed, in some among the leading ones
+        lines = [x.split() for x in body]
+        lines[i % 4][i % 30] = f"new{chr(97 + i)}"
+        copies.append((100 + i, "\n".join([*map(" ".join, lines), passage])))
+    rows = [(i, f"{t}\n{passage}") for i, t in enumerate(own)] + copies
+    left = {r["doc_id"]: r["text"] for r in templates.without_recurring(docs(rows)).collect()}
+    assert {i: left[i] for i in range(6)} == dict(enumerate(own))
+    assert all(left[i] == t for i, t in copies)  # one family by itself: left to document dedup
+
+
+def test_heavily_edited_copies_stay(docs):
+    rnd = random.Random(33)
+    body = [prose(rnd, rnd.choice([5, 8, 20, 40])) for _ in range(20)]
+    change = lambda x: " ".join(rnd.choice(["qua", "que", "quo"]) + w if rnd.random() < 0.1 else w for w in x.split())
+    rows = [(i, "\n".join(map(change, body))) for i in range(12)]
+    assert {(r["doc_id"], r["text"]) for r in templates.without_recurring(docs(rows)).collect()} == set(rows)
+
+
 def _spots(text):
     common, out = set(spots.ANCHORS), set()
     w = text.lower().split()
