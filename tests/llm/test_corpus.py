@@ -124,6 +124,16 @@ def test_heavily_edited_copies_stay(docs):
     assert {(r["doc_id"], r["text"]) for r in templates.without_recurring(docs(rows)).collect()} == set(rows)
 
 
+@pytest.mark.parametrize("shared, own", [(5, 1), (5, 5), (10, 1), (10, 5)])
+def test_blocks_of_shared_lines_go(docs, shared, own):
+    rnd = random.Random(shared * 10 + own)
+    block = [prose(rnd, 12) for _ in range(shared)]
+    mine = ["\n".join(prose(rnd, 15) for _ in range(own)) for _ in range(20)]
+    rows = [(i, "\n".join([*block[:2], t, *block[2:]])) for i, t in enumerate(mine)]
+    left = {r["doc_id"]: r["text"] for r in templates.without_recurring(docs(rows)).collect()}
+    assert left == dict(enumerate(mine))
+
+
 def _spots(text):
     common, out = set(spots.ANCHORS), set()
     w = text.lower().split()
