@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from locusdeck.llm.shared import BLOCK
 
@@ -273,7 +274,7 @@ def encoded(docs: DataFrame, model_file: str, id_col: str = "doc_id", texts: boo
     for name, kind in (("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")):
         schema = schema.add(name, kind)
     if texts:
-        schema = schema.add("ids", "array<int>").add("decoded", "string")
+        schema = schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(model_file)

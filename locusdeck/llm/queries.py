@@ -7,20 +7,29 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusdeck.llm import language, pieces, secret_scan, seeds, simhash, spots, templates, toxicity, urls, warc
+from locusdeck.llm import (
+    alignment, fill_middle, language, packing, pieces, secret_scan, seeds, simhash, spots, templates, toxicity, urls, warc,
+)
 from locusdeck.llm.shared import read, remainder
 from locusdeck.session import new_folder
 
-#: The vocabulary file of op8 and the pipeline; every executor has it at the same path.
+#: The vocabulary files of op8, op12, op13 and the pipeline; every executor has them at the same paths.
 MODEL_FILE = os.environ.get("LOCUSDECK_PIECE_MODEL", "")
+BYTE_FILE = os.environ.get("LOCUSDECK_BYTE_MODEL", "")
 
 
-def model_file() -> str:
-    if MODEL_FILE:
-        return MODEL_FILE
+def _public(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
+
+
+def model_file() -> str:
+    return MODEL_FILE or _public("piece_bpe_32k.model")
+
+
+def byte_file() -> str:
+    return BYTE_FILE or _public("byte_bpe_50k.json")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,11 +97,53 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_middle.rearranged(read(spark, sf_dir, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cut freely; all of a document's ids bear loss, so its tokens bound that, too."""
+    return packing.packed(read(spark, sf_dir, "documents"), byte_file(), packing.Limits(1024, 64, 1024))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.measured(read(spark, sf_dir, "documents"), byte_file(), model_file())
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_warc, op3_line_dedup, op4_secrets, op5_spotsigs, op6_decontamination, op7_simhash,
-        op8_sentencepiece, op9_url_filter, op10_toxicity,
+        op8_sentencepiece, op9_url_filter, op10_toxicity, op11_fill_middle, op12_packing, op13_alignment,
     )
 }
-ORACLE: dict[str, str] = {}
+_UNSIGNED = " + ".join(f"(strpos('0123456789abcdef', substr(h, {{at}} + {i}, 1)) - 1) * {16 ** (7 - i)}" for i in range(8))
+ORACLE: dict[str, str] = {
+    "op11_fill_middle": f"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), units AS (
+    SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u,
+           {_UNSIGNED.format(at=1)} AS h1, {_UNSIGNED.format(at=9)} AS h2,
+           {_UNSIGNED.format(at=17)} AS h3, {_UNSIGNED.format(at=25)} AS h4
+    FROM texts
+), planned AS (
+    SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM units
+), cut AS (
+    SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s FROM planned
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut""",
+}

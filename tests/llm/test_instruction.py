@@ -1,0 +1,264 @@
+"""Fill-in-middle, packing and alignment against brute force and the libraries they follow."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from corpus_fixtures import docs  # noqa: F401
+from locusdeck.llm import alignment, byte_pairs, fill_middle, packing, queries
+from locusdeck.llm.shared import read
+
+SF = "/root/testdata/sf0.001"
+PARTS = ["ab ", " \t\n.,", "the ing and ", "éßöñ ", "中文字", "▁ a", "🙂​  x", "<s></s><|endoftext|>", "0123456789", "     ", "def f();=", "don't we'll "]
+
+
+def mixed(rnd, n):
+    return "".join(rnd.choice(rnd.choice(PARTS)) for _ in range(n))
+
+
+def corpus(seed=3):
+    rnd = random.Random(seed)
+    rows = [(i, mixed(rnd, rnd.choice([1, 3, 40, 400]))) for i in range(60)]
+    rows += [(100, None), (101, ""), (102, " "), (None, "no id at all"), (104, "a <P> b"), (105, "x<S>"), (106, "<M>"), (107, "<P")]
+    rows += [(200, "long words and more of them " * 4000), (201, "a" * 3000), (7, rows[7][1]), (300, rows[7][1]), (301, rows[7][1])]
+    return rows
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _middle(doc_id, text, seed=1):
+    text = text or ""
+    units = re.findall(r"[A-Za-z]+|[^A-Za-z]", text, re.S)
+    digest = sha(f"{seed}:{'' if doc_id is None else doc_id}")
+    h = [int(digest[i * 8 : i * 8 + 8], 16) for i in range(4)]
+    n = len(units)
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return n, "plain", None, None, text
+    if h[3] % 100 < 20:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def test_rearranged_texts(docs):
+    rows = corpus()
+    frame = docs(rows).withColumns({"n": F.lit("clash"), "form": F.lit(1), "_t": F.lit(2), "_h": F.lit(3)})
+    got = fill_middle.rearranged(frame).withColumn("back", fill_middle.restored(F.col("output"), F.col("form"))).collect()
+    want = Counter((i, *_middle(i, t), t or "") for i, t in rows)
+    assert Counter((r["doc_id"], r["n"], r["form"], r["prefix_chars"], r["middle_chars"], r["output"], r["back"]) for r in got) == want
+    assert {r["form"] for r in got} == {"plain", "psm", "spm"}
+    assert fill_middle.rearranged(frame.limit(0)).count() == 0
+    other = fill_middle.rearranged(frame, seed=2, rate=100, suffix_first=100).filter("form = 'psm'")
+    assert other.count() == 0
+
+
+def test_rearranging_is_one_match_without_a_shuffle(spark, plan):
+    text = plan(queries.op11_fill_middle(spark, SF))
+    assert "Exchange" not in text and "Python" not in text
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(queries.byte_file())
+
+
+def test_byte_pairs_equal_the_library(library):
+    rnd = random.Random(1)
+    tool = byte_pairs.byte_pairs(queries.byte_file())
+    texts = [mixed(rnd, rnd.choice([1, 5, 30, 300])) for _ in range(800)] + ["", " " * 200_000 + "x", "\n \t" * 50_000, "a" * 20_000]
+    texts += ["".join(chr(c) for c in range(s, s + 0x3000)) for s in (0x20, 0x3020, 0xA000, 0xE000, 0x1D000, 0x1F000)]
+    for special in (True, False):
+        library.encode_special_tokens = not special
+        for t in texts:
+            assert tool.encode(t, special).tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_stretches_have_the_ids_of_the_whole(library):
+    rnd = random.Random(2)
+    library.encode_special_tokens = True
+    tool = alignment.aligner(queries.byte_file(), queries.model_file())
+    for _ in range(150):
+        text = mixed(rnd, 400)
+        cut = list(byte_pairs.stretches(text, 20))
+        assert " ".join(cut) == text
+        a = [x for t in cut for x in tool.a.encode(" " + t, special=False).tolist()]
+        assert a == library.encode(" " + text, add_special_tokens=False).ids
+        assert [x for t in cut for x in tool.b.model.encode(t)] == tool.b.model.encode(text)
+
+
+def _check_packing(rows, found, library, limits, padding):
+    library.encode_special_tokens = False
+    ids = [(i, library.encode(t or "", add_special_tokens=False).ids + [0]) for i, t in rows]
+    pieces = defaultdict(list)
+    sequences = defaultdict(list)
+    for r in found:
+        pieces[r["doc_id"]].append(r)
+        sequences[r["sequence_id"]].append(r)
+    by_id = defaultdict(list)
+    for i, x in ids:
+        by_id[i].append(x)
+    for i, wanted in by_id.items():
+        # Equal ids may stand for several rows: what they hold together has to be there once each.
+        assert sum(r["length"] for r in pieces[i]) == sum(map(len, wanted))
+        if len(wanted) == 1:
+            at = 0
+            for r in sorted(pieces[i], key=lambda r: r["start"]):
+                assert r["start"] == at and r["doc_tokens"] == len(wanted[0])
+                own = wanted[0][at : at + r["length"]]
+                assert r["ids_crc32"] == zlib.crc32(np.array(own, "<u4").tobytes()) and r["length"] > 0
+                at += r["length"]
+    waste = 0
+    for own in sequences.values():
+        own.sort(key=lambda r: r["offset"])
+        assert [r["segment"] for r in own] == list(range(len(own)))
+        at = 0
+        for r in own:
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= limits.tokens and len(own) <= limits.segments and sum(r["loss_tokens"] for r in own) <= limits.loss
+        waste += 0 if packing.power_of_two(at) else limits.tokens - at
+    assert waste <= padding * len(sequences) * limits.tokens
+    return sequences
+
+
+@pytest.mark.parametrize("limits", [packing.Limits(), packing.Limits(1024, 3, 1024), packing.Limits(64, 64, 10), packing.Limits(7, 1, 7)])
+def test_packed_documents(docs, library, limits, monkeypatch):
+    rows = corpus()
+    frame = docs(rows).withColumns({"ids": F.lit("clash"), "sequence_id": F.lit(1)}).repartition(3, "doc_id")
+    found = packing.packed(frame, queries.byte_file(), limits).collect()
+    # Loss limits below the tokens leave room that nothing may fill, but powers of two need no padding.
+    _check_packing(rows, found, library, limits, 0.02)
+    assert packing.packed(frame.limit(0), queries.byte_file()).count() == 0
+
+
+def test_packing_block_by_block_and_whole_examples():
+    rnd = random.Random(5)
+    limits = packing.Limits(256, 8, 120)
+    for cut, pad in ((True, 256), (False, 0), (True, 0)):
+        packer, done, given = packing.Packer(limits, cut, pad), [], []
+        for k in range(600):
+            n = rnd.choice([3, 20, 60, 100, 400])
+            given.append((k, np.arange(n, dtype=np.uint32), rnd.randrange(n + 1)))
+            done += packer.add(*given[-1])
+            if packer.tokens > 5000:
+                done += packer.sequences(2500)
+        done += packer.sequences()
+        held = defaultdict(list)
+        for s in done:
+            assert sum(len(p.ids) for p in s) <= 256 and len(s) <= 8 and sum(p.loss for p in s) <= 120
+            for p in s:
+                held[p.row].append(p)
+        for k, x, _ in given:
+            own = sorted(held[k], key=lambda p: p.start)
+            assert np.concatenate([p.ids for p in own]).tolist() == x.tolist()
+            if not cut and len(x) <= 100:
+                assert len(own) == 1 or given[k][2] < len(x) - 120
+        loss, tokens = sum(max(0, len(x) - f) for _, x, f in given), sum(len(x) for _, x, _ in given)
+        least = max(-(-tokens // 256), -(-loss // 120), -(-len(given) // 8))
+        if pad or not cut:
+            assert len(done) <= 1.3 * least
+        else:
+            assert all(packing.power_of_two(sum(len(p.ids) for p in s)) for s in done)
+
+
+def test_the_dot_product_decides():
+    packer = packing.Packer(packing.Limits(100, 10, 50), cut=False)
+    # 60 tokens without loss come before 50 tokens that use up all of the loss: 60/100 against 50/100 + 50/50 is less.
+    list(packer.add("calm", np.zeros(60, np.uint32), 60))
+    list(packer.add("loss", np.zeros(50, np.uint32), 0))
+    list(packer.add("small", np.zeros(40, np.uint32), 40))
+    first, second = packer.sequences()
+    assert [p.row for p in first] == ["loss", "small"] and [p.row for p in second] == ["calm"]
+
+
+def test_prompts_bear_no_loss(spark, library):
+    rows = [(i, "question " * (i % 7), "answer " * (i % 11)) for i in range(80)] + [(None, None, None)]
+    frame = spark.createDataFrame(rows, "conv_id long, ask string, text string").coalesce(2)
+    found = packing.packed(frame, queries.byte_file(), packing.Limits(64, 6, 20), id_col="conv_id", prompt="ask", ids=True).collect()
+    library.encode_special_tokens = False
+    tokens = lambda t: library.encode(t or "", add_special_tokens=False).ids
+    loss = sum(len(tokens(t)) + 1 for _, _, t in rows)
+    assert sum(r["loss_tokens"] for r in found) == loss
+    for i, ask, text in rows:
+        own = sorted((r for r in found if r["conv_id"] == i), key=lambda r: r["start"])
+        assert [x for r in own for x in r["ids"]] == tokens(ask) + tokens(text) + [0]
+
+
+def _aligned(text, library, tool):
+    """Groups and links of one text, token by token."""
+    library.encode_special_tokens = True
+    a, b = library.encode(" " + text, add_special_tokens=False).ids, tool.b.model.encode(text)
+    data = (" " + text).encode()
+    spans = []
+    for ids, table in ((a, tool.a.bytes_of), (b, tool.b_bytes)):
+        at, out = 0, []
+        for i in ids:
+            out.append((at, at + len(table[i]), i))
+            at += len(table[i])
+        if b"".join(table[i] for i in ids) != data:
+            return None
+        spans.append(out)
+    links = [(x, y) for s, e, x in spans[0] for t, f, y in spans[1] if max(s, t) < min(e, f)]
+    common = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]})
+    told, begin = [], 0
+    for end in common:
+        told.append("|".join(",".join(str(i) for s, e, i in side if begin < e <= end) for side in spans))
+        begin = end
+    return a, b, links, ";".join(told), len(common)
+
+
+def test_alignment_by_brute_force(docs, library, monkeypatch):
+    tool = alignment.aligner(queries.byte_file(), queries.model_file())
+    rows = [r for r in corpus(9) if len(r[1] or "") < 3000] + [(400, "▁ mark"), (401, "it costs <0x41> and <unk> ▁")]
+    rows += [(500 + i, "a text that many documents share, word by word. " * 9) for i in range(40)]
+    known = {t: _aligned(t, library, tool) for _, t in rows if t}
+    assert None in known.values()
+    counts = Counter(x for _, t in rows if t and known[t] for x in known[t][2])
+    best = defaultdict(int)
+    for (_, b), n in counts.items():
+        best[b] = max(best[b], n)
+    want = Counter()
+    for i, t in rows:
+        k = known[t] if t else None
+        if k is None:
+            want[(i, 0, 0, 0, 0, 0, 0, "")] += 1
+        else:
+            a, b, links, told, groups = k
+            want[(i, len(a), len(b), groups, len(links), sum(counts[x] == best[x[1]] for x in links), sum(counts[x] for x in links), sha(told))] += 1
+    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    frame = docs(rows).withColumns({"key": F.lit("clash"), "times": F.lit(1), "_id": F.lit(2), "pair": F.lit(3)})
+    for block, bound in ((1 << 18, 48), (30, 1 << 40)):  # whole texts and broadcast counts; cut texts and shuffled counts
+        monkeypatch.setattr(alignment, "PAIR_BYTES", bound)
+        monkeypatch.setattr(alignment, "STRETCH", block)
+        found = alignment.measured(frame, queries.byte_file(), queries.model_file())
+        assert found.columns == names
+        assert Counter(tuple(r[c] for c in names) for r in found.collect()) == want
+    assert alignment.measured(frame.limit(0), queries.byte_file(), queries.model_file()).count() == 0
+
+
+def test_each_distinct_text_is_aligned_once(docs):
+    frame = docs([(i, "one text") for i in range(50)] + [(60, "another")])
+    found = alignment.aligned_texts(frame, queries.byte_file(), queries.model_file()).collect()
+    assert sorted(r["times"] for r in found) == [1, 50]
+
+
+def test_whole_tables(spark, library):
+    documents = read(spark, SF, "documents")
+    rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
+    found = queries.op12_packing(spark, SF).collect()
+    sequences = _check_packing(rows, found, library, packing.Limits(), 0.0)
+    tokens = sum(r["length"] for r in found)
+    assert len(sequences) <= tokens // 1024 + 12
+    measures = queries.op13_alignment(spark, SF).collect()
+    assert len(measures) == len(rows) and all(r["n_links"] == r["n_a"] + r["n_b"] - r["n_groups"] for r in measures)

@@ -29,6 +29,8 @@ def test_encoding_equals_the_library(spark, docs):
         want = tool.model.encode(text or "", add_bos=True, add_eos=True)
         sha = hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
         assert (doc, len(want), sha, hashlib.sha256(tool.model.decode(want).encode()).hexdigest()) in found
+    told = pieces.encoded(docs(ODD[3:4]), queries.model_file(), texts=True).first()
+    assert told["decoded"] == "a b c" and told["ids"] == tool.model.encode("a b c", add_bos=True, add_eos=True)
 
 
 def _fingerprint(text):
