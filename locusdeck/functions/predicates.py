@@ -6,7 +6,7 @@ smaller than the literal 0.01, which it would once both sides are widened to dou
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -86,6 +86,21 @@ def regions(intervals: Iterable[tuple[str, int, int]], **how) -> Column:
     return reduce(lambda a, b: a | b, [region(c, lo, hi, **how) for c, lo, hi in intervals])
 
 
+def any_of(columns: Sequence[str], values: Iterable[tuple]) -> Column:
+    """Rows whose columns have one of the value tuples; gathered by the values before the last."""
+    groups: dict[tuple, list] = {}
+    for value in values:
+        groups.setdefault(tuple(value[:-1]), []).append(value[-1])
+    *front, last = columns
+
+    def one(head: tuple, tails: list) -> Column:
+        found = F.col(last).isin([t for t in tails if t is not None])
+        found = (found | F.col(last).isNull()) if None in tails else found
+        return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(front, head)] + [found])
+
+    return reduce(lambda a, b: a | b, [one(head, tails) for head, tails in groups.items()], F.lit(False))
+
+
 def of_samples(
     samples: Iterable[str], column: str = "sample_name", layout: TableSpec | None = None
 ) -> Column:

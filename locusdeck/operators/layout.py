@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,17 +25,26 @@ def _bloom_options(spec: TableSpec) -> dict[str, str]:
     return options | ({"parquet.bloom.filter.adaptive.enabled": "true"} if options else {})
 
 
-def laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
+def file_sized(spec: TableSpec) -> dict[str, str]:
+    """Settings under which a shuffle makes pieces of the table's file size."""
+    return {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(spec.target_file_bytes * SHUFFLE_TO_FILE)}
+
+
+def laid_out(df: DataFrame, spec: TableSpec, observe: tuple[Observation, Sequence[Column]] | None = None) -> DataFrame:
     """Rows distributed and sorted for the table's partitions.
 
     REBALANCE gathers a partition's rows, cuts a partition that is too big for one task into
     several file-sized pieces and packs small ones together. Sorting is local to a task and
-    starts with the partition keys, so the writer does not sort again.
+    starts with the partition keys, so the writer does not sort again. ``observe`` (an observation and its
+    aggregates) sees the rows of the writing tasks, so a repeated task counts once.
     """
     keyed = with_layout_keys(to_schema(df, spec.schema), spec)
     names = spec.partition_names
     order = [F.col(c) for c in names] + [F.col(f"`{c}`").asc_nulls_last() for c in spec.sort_by]
-    return keyed.hint("rebalance", *names).sortWithinPartitions(*order)
+    spread = keyed.hint("rebalance", *names)
+    if observe:
+        spread = spread.observe(observe[0], *observe[1])
+    return spread.sortWithinPartitions(*order)
 
 
 def write_table(
@@ -45,6 +54,7 @@ def write_table(
     mode: str = "append",
     max_records: int = 0,
     table: str | None = None,
+    observe: tuple[Observation, Sequence[Column]] | None = None,
 ) -> None:
     """Write rows in the declared layout; ``max_records`` bounds the rows of a file.
 
@@ -57,7 +67,7 @@ def write_table(
     if not anew:
         keep_layout(spark, table or path, spec)
     writer = (
-        laid_out(df, spec)
+        laid_out(df, spec, observe)
         .write.mode(mode)
         .partitionBy(*spec.partition_names)
         .option("compression", spec.codec)
@@ -65,8 +75,8 @@ def write_table(
     )
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
-    piece = str(spec.target_file_bytes * SHUFFLE_TO_FILE)
-    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": piece}):
+    # Beside other writes of the session, the settings are those of the whole (see ingestion).
+    with settings(spark, {} if observe else file_sized(spec)):
         writer.parquet(path)
     if anew:
         keep_layout(spark, path, spec)
@@ -133,11 +143,7 @@ def insert_into(df: DataFrame, spec: TableSpec, name: str, using: str = "parquet
     if using == "iceberg":
         to_schema(df, spec.schema).writeTo(name).append()
         return
-    piece = str(spec.target_file_bytes * SHUFFLE_TO_FILE)
-    changed = {
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": piece,
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    }
+    changed = file_sized(spec) | {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
     with settings(df.sparkSession, changed):
         laid_out(df, spec).write.insertInto(name)
 

@@ -29,11 +29,12 @@ from locusdeck.schemas import (
     TableSpec,
 )
 from locusdeck.session import new_folder, once
-from locusdeck.sources.archives import expand
+from locusdeck.sources.archives import read_archives
 from locusdeck.sources.expression import read_tpm
 from locusdeck.sources.manifest import read_manifest
 from locusdeck.sources.tables import catalog_table, kept_layout, read_table, stored_layout
-from locusdeck.sources.vcf import parse_cnv, parse_variants
+from locusdeck.sources.vcf import parse_cnv, parse_variants, read_variants
+from locusdeck.streaming.ingest import batch_totals as totals
 from locusdeck.streaming.ingest import ingest_folder, read_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,14 +161,13 @@ def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def make(path: str) -> str:
         records = render.variant_records(views.variants(spark, sf_dir))
-        render.as_archives(records).write.option("parquet.block.size", 4 * 1024 * 1024).parquet(path)
+        # Cut lines into several tasks, so that there are archives of several tasks.
+        render.write_archives(render.as_archives(records.repartition(4, "value")), path)
         return path
 
-    # The rows that the binary file source gives for a folder of archives.
-    path = once(spark, sf_dir, "archives", make)
-    lines = expand(spark.read.schema("path string, content binary").parquet(path))
-    data = lines.filter(~F.col("line").startswith("#"))
-    return data.select(F.split("line", "\t").alias("c")).select(
+    lines = read_archives(spark, once(spark, sf_dir, "archives", make))
+    data = lines.filter(~F.col("value").startswith("#"))
+    return data.select(F.split("value", "\t").alias("c")).select(
         F.get("c", F.lit(0)).alias("contig"),
         F.get("c", F.lit(1)).cast("int").alias("pos_start"),
         F.get("c", F.lit(3)).alias("ref"),
@@ -198,6 +198,11 @@ def vcf_parse_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(parse_variants(_lines(spark, sf_dir, "variant-lines", lines)))
 
 
+def vcf_read_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compressed VCF files, one or more per sample, in one pass over their text."""
+    return shown(read_variants(spark, _vcf_files(spark, sf_dir, "variant")))
+
+
 def vcf_parse_cnv(spark: SparkSession, sf_dir: str) -> DataFrame:
     def lines() -> DataFrame:
         return render.as_lines(render.cnv_records(views.cnv(spark, sf_dir)))
@@ -420,23 +425,22 @@ def _vcf_files(spark: SparkSession, sf_dir: str, kind: str) -> str:
     return once(spark, sf_dir, f"{kind}-files", make)
 
 
+def _ingest(
+    spark: SparkSession, sf_dir: str, files: str, tables: list[str], source: str, files_per_batch: int, base: str
+) -> dict[str, str]:
+    """Ingest a folder of files; where its tables lie."""
+    specs = {name: _fitted(spark, sf_dir, TABLES[name], source) for name in tables}
+    targets = {name: f"{base}/{name}" for name in tables}
+    ingest_folder(spark, files, targets, f"{base}/checkpoint", files_per_batch, specs=specs, new_annotations_only=True)
+    return targets
+
+
 def _ingested(
     spark: SparkSession, sf_dir: str, files: str, tables: list[str], source: str, files_per_batch: int
 ) -> dict[str, DataFrame]:
     """The tables after one ingestion of a folder of files."""
-    base = new_folder(spark, "ingest")
-    specs = {name: _fitted(spark, sf_dir, TABLES[name], source) for name in tables}
-    targets = {name: f"{base}/{name}" for name in tables}
-    ingest_folder(
-        spark,
-        files,
-        targets,
-        f"{base}/checkpoint",
-        files_per_batch,
-        specs=specs,
-        new_annotations_only=True,
-    )
-    return {name: read_batches(spark, targets[name], specs[name]) for name in tables}
+    targets = _ingest(spark, sf_dir, files, tables, source, files_per_batch, new_folder(spark, "ingest"))
+    return {name: read_batches(spark, path, stored_layout(spark, path, TABLES[name])) for name, path in targets.items()}
 
 
 def _files_per_batch(spark: SparkSession, sf_dir: str, batches: int) -> int:
@@ -455,16 +459,54 @@ def ingest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fanned_out(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """The three tables that one ingestion has written side by side, and where they lie."""
+    names = ["variants", "variants_by_sample", "annotations"]
+    files, size = _vcf_files(spark, sf_dir, "variant"), _files_per_batch(spark, sf_dir, 2)
+
+    def make(base: str) -> dict[str, str]:
+        return _ingest(spark, sf_dir, files, names, "lineitem", size, base)
+
+    targets = once(spark, sf_dir, "fanout", make)
+    specs = {name: stored_layout(spark, path, TABLES[name]) for name, path in targets.items()}
+    return {name: read_batches(spark, path, specs[name]) for name, path in targets.items()}, targets
+
+
 def fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the three tables that one ingestion has written."""
-    files, size = _vcf_files(spark, sf_dir, "variant"), _files_per_batch(spark, sf_dir, 2)
-    names = ["variants", "variants_by_sample", "annotations"]
-    stored = _ingested(spark, sf_dir, files, names, "lineitem", size)
+    stored, _ = _fanned_out(spark, sf_dir)
     return merged(
         [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in stored.items()]
     )
 
 
+def fanout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows themselves: calls of both variant tables, loci of the annotations."""
+    stored, _ = _fanned_out(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    calls = [
+        df.select(F.lit(name).alias("name"), "sample_name", "contig", "pos_start", "ref", "alt", "genotype", none.alias("symbol"))
+        for name, df in stored.items()
+        if name != "annotations"
+    ]
+    loci = stored["annotations"].select(
+        F.lit("annotations").alias("name"), none.alias("sample_name"), F.col("chrom").alias("contig"),
+        F.col("pos").alias("pos_start"), "ref", "alt", none.alias("genotype"), "symbol",
+    )
+    return merged([*calls, loci])
+
+
+def batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and samples that the writes of all batches have counted, by table."""
+    _, targets = _fanned_out(spark, sf_dir)
+    return merged(
+        [
+            totals(spark, path).agg(F.sum("rows").alias("n"), F.sum("samples").alias("samples")).select(F.lit(name).alias("name"), "n", "samples")
+            for name, path in targets.items()
+        ]
+    )
+
+
 def ingest_cnv(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _vcf_files(spark, sf_dir, "cnv")
     return _ingested(spark, sf_dir, files, ["cnv"], "orders", 100)["cnv"].select(*CNV_TABLE.schema.names)
@@ -513,6 +555,7 @@ QUERIES: dict[str, Query] = {
     "manifest_paths": manifest_paths,
     "archive_members": archive_members,
     "vcf_parse_variants": vcf_parse_variants,
+    "vcf_read_variants": vcf_read_variants,
     "vcf_parse_cnv": vcf_parse_cnv,
     "tpm_csv_normalise": tpm_csv_normalise,
     "locus_join": lambda spark, sf_dir: _joined(spark, sf_dir, "auto"),
@@ -542,6 +585,8 @@ QUERIES: dict[str, Query] = {
     "sorted_check": sorted_check,
     "ingest_batches": ingest_batches,
     "fanout_counts": fanout_counts,
+    "fanout_rows": fanout_rows,
+    "batch_totals": batch_totals,
     "ingest_cnv": ingest_cnv,
     "ingest_tpm": ingest_tpm,
     "usage_minutes": usage_minutes,

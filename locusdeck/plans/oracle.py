@@ -293,6 +293,7 @@ OPERATORS: dict[str, str] = {
     "manifest_paths": _MANIFEST,
     "archive_members": over_views("SELECT contig, pos_start, ref, alt, genotype FROM fx_variants"),
     "vcf_parse_variants": _variant_rows("TRUE"),
+    "vcf_read_variants": _variant_rows("TRUE"),
     "vcf_parse_cnv": over_views("SELECT * FROM fx_cnv"),
     "tpm_csv_normalise": over_views("SELECT * FROM fx_tpm"),
     "locus_join": _JOIN_ROWS,
@@ -365,6 +366,16 @@ OPERATORS: dict[str, str] = {
         " UNION ALL SELECT 'variants_by_sample', count(*) FROM fx_variants"
         " UNION ALL SELECT 'annotations', count(*) FROM fx_dedup"
     ),
+    "fanout_rows": over_views(
+        "SELECT t.name, sample_name, contig, pos_start, ref, alt, genotype, CAST(NULL AS VARCHAR) AS symbol"
+        " FROM fx_variants, (VALUES ('variants'), ('variants_by_sample')) t(name)"
+        " UNION ALL SELECT 'annotations', NULL, chrom, pos, ref, alt, NULL, symbol FROM fx_dedup"
+    ),
+    "batch_totals": over_views(
+        "SELECT t.name, count(*) AS n, count(DISTINCT sample_name) AS samples"
+        " FROM fx_variants, (VALUES ('variants'), ('variants_by_sample')) t(name) GROUP BY 1"
+        " UNION ALL SELECT 'annotations', count(*), NULL FROM fx_dedup"
+    ),
     "ingest_cnv": over_views("SELECT * FROM fx_cnv"),
     "ingest_tpm": over_views("SELECT * FROM fx_tpm"),
     "usage_minutes": over_views(

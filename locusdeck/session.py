@@ -75,6 +75,15 @@ def once(spark: SparkSession, source: str, name: str, make: Callable[[str], T])
     return _made[key]
 
 
+def sibling(spark: SparkSession) -> SparkSession:
+    """A session of the same application with the same settings, for settings of its own."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    return other
+
+
 @contextmanager
 def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
     """Run one action under changed SQL settings and put the old ones back."""
