@@ -1,8 +1,16 @@
 """Line dedup with a log-template tree: lines whose template recurs across documents are dropped.
 
-A line's tokens that hold digits are variable fields. The tree has a fixed depth: number of tokens, then the
-DEPTH leading tokens. In a leaf, the tail is cut into QUARTERS parts and each part in turn is generalised to a wild
-card: lines that differ in one part only share a template. Grouping by template counts, for
+The tree has a fixed depth: number of tokens, then DEPTH leading tokens; tokens that hold digits are variable from the
+start. A child that is rare goes to its node's wild child: a line whose leading tokens make no leaf of ``min_docs`` lines goes by
+the DEPTH tokens after them, and failing that by its last DEPTH tokens. A line is a row of FIELDS fields at most (single tokens;
+in longer lines, runs of equal length). In a leaf, the texts that have a field's value in its place are counted;
+the value stays part of the template if it is about as frequent as the line's other fields, and is generalised otherwise:
+``m`` is the frequency that half of the fields reach (those that make the leaf left aside), and values with less than half
+of it are variable, however many there are and wherever they stand. So each line has one template. A line of which half does not
+recur has none; a generalised template has to be shared by a DOMINANT-th of its leaf or hold EVIDENCE constant fields,
+or else it is a chance agreement of common words.
+
+Grouping by template counts, for
 each, the different texts and the families they come from. A text's family is the rarest of its lines of other
 leaves, so that copies of one document are one family and texts that only share boilerplate are not. A line is as rare
 as the commonest of its parts (runs of PART tokens from both ends), so edits that leave a part whole make no new
@@ -14,9 +22,10 @@ A template recurs if enough families hold it, however many texts each of them ha
 of the texts is taken for copies of one document, which are left to document dedup: the texts with a part of its rarest line
 keep the template's lines and count as one family; all others lose them.
 
-Defined results: lines of fewer than ``min_tokens`` tokens, blank ones among them, always stay; shorter lines need
-``short_docs`` families instead of ``min_docs``; a NULL text stays NULL, a text that loses all lines becomes
-empty; repeated rows count as one text and lose the same lines; ``n_chars``, if there, follows the text.
+Defined results: lines of fewer than ``min_tokens`` tokens, blank ones among them, always stay; lines of fewer than FULL_TOKENS
+need ``short_docs`` families instead of ``min_docs``; a NULL text stays NULL, a text that loses all lines becomes
+empty; repeated rows count as one text and lose the same lines; ``n_chars``, if there, follows the text; other columns
+stay as they are, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,65 +37,110 @@ from locusdeck.llm.components import components
 from locusdeck.llm.shared import BROADCAST_BYTES, attach, bounded, cut, fits, indices, let
 
 DEPTH = 3
-QUARTERS = 4
+FIELDS = 16
+DOMINANT, EVIDENCE = 4, 8
 #: A line's parts: tokens of each, and the most from either end.
 PART, PARTS = 5, 4
 MIN_DOCS, SHORT_DOCS = 3, 30
 MIN_TOKENS, FULL_TOKENS = 3, 8
 WILD = "<*>"
+_SPACE = " \t\r\f\x0b"
 
 
-def _masked(line: Column) -> Column:
-    """The line with every token that holds a digit generalised."""
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"\S*[0-9]\S*", WILD)).otherwise(line)
+def _tokens(line: Column) -> Column:
+    """The tokens of a line, those that hold a digit generalised."""
+    single = F.when(line.rlike("[\\t\\r\\f\\x0b]|  "), F.regexp_replace(line, "[ \\t\\r\\f\\x0b]+", " ")).otherwise(line)
+    masked = F.regexp_replace(single, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", WILD)
+    return F.split(F.when(single.rlike("[0-9]"), masked).otherwise(single), " ")
 
 
 def _parsed(line: Column, depth: int) -> Column:
-    """Token count, leaf, hashes of parts, and template keys of a line."""
-    trimmed = F.btrim(line, F.lit(" \t\r\f\x0b"))
-    tokens = F.split(_masked(trimmed), r"\s+")
+    """Token count, leaves, parts and fields of a line, all hashed."""
+    trimmed = F.btrim(line, F.lit(_SPACE))
 
     def keyed(t: Column) -> Column:
         n = F.size(t)
-        leaf = F.xxhash64(n, *[F.get(t, F.lit(i)) for i in range(depth)])
-
-        def templates(leaf: Column) -> Column:
-            tail = n - depth
-            cut_at = [F.floor(tail * j / QUARTERS).cast("int") for j in range(QUARTERS + 1)]
-            parts = F.struct(
-                *[
-                    F.xxhash64(F.slice(t, cut_at[j] + depth + 1, cut_at[j + 1] - cut_at[j])).alias(f"p{j}")
-                    for j in range(QUARTERS)
-                ]
-            )
-            generalised = lambda p: F.array(
-                *[
-                    F.xxhash64(leaf, *[F.lit(WILD) if i == j else p[f"p{i}"] for i in range(QUARTERS)])
-                    for j in range(QUARTERS)
-                ]
-            )
-            whole = F.array(F.xxhash64(leaf, F.lit("whole"), F.xxhash64(t)))
-            return F.when(n >= FULL_TOKENS, let(parts, generalised)).otherwise(whole)
-
+        some = lambda start, kind: F.xxhash64(n, F.lit(kind), F.slice(t, start, F.lit(depth)))
+        first = some(F.lit(1), "first")
+        later = F.when(n > depth, F.xxhash64(n, F.lit("later"), F.slice(t, depth + 1, F.least(F.lit(depth), n - depth))))
+        last = F.when(n > 2 * depth, some(n - depth + 1, "last"))
         k = F.greatest(F.least(n, F.lit(MIN_TOKENS)), F.least(F.floor(n / 2).cast("int"), F.lit(PART)))
         each = indices(F.least(F.lit(PARTS), F.floor(n / k).cast("int")))
         heads = F.transform(each, lambda j: F.xxhash64(F.slice(t, j * k + 1, k)))
         tails = F.transform(each, lambda j: F.xxhash64(F.slice(t, n - (j + 1) * k + 1, k)))
         parts = F.array_distinct(F.concat(heads, tails))
-        return let(leaf, lambda x: F.struct(n.alias("n"), x.alias("leaf"), parts.alias("parts"), templates(x).alias("keys")))
+        run = F.ceil(n / FIELDS).cast("int")
+        fields = F.transform(indices(F.ceil(n / run).cast("int")), lambda j: F.xxhash64(F.slice(t, j * run + 1, run)))
+        return F.struct(n.alias("n"), F.array(first, later, last).alias("leaves"), parts.alias("parts"), fields.alias("fields"))
 
-    none = F.array().cast("array<long>")
-    blank = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("leaf"), none.alias("parts"), none.alias("keys"))
-    return F.when(trimmed == "", blank).otherwise(let(tokens, keyed))
+    # Lines that are too short are not looked at any further.
+    long_enough = F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "))) >= 1
+    return F.when(long_enough | trimmed.rlike("[\\t\\r\\f\\x0b]"), let(_tokens(trimmed), keyed))
 
 
 def parsed_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """(doc_id, text_hash, pos, n, leaf, parts, keys) of every line that counts."""
+    """(text_hash, pos, n, leaf, leaves, parts, fields) of every line that counts."""
     per_doc = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_hash"),
+        F.xxhash64("text").alias("text_hash"),
         F.posexplode(F.transform(F.split("text", "\n"), lambda x: _parsed(x, depth))).alias("pos", "line"),
     )
-    return per_doc.filter(F.col("line.n") >= min_tokens).select("doc_id", "text_hash", "pos", "line.*")
+    lines = per_doc.filter(F.col("line.n") >= min_tokens)
+    return lines.select("text_hash", "pos", "line.n", F.col("line.leaves")[0].alias("leaf"), "line.leaves", "line.parts", "line.fields")
+
+
+def _joined(left: DataFrame, right: DataFrame, key: str, weight: str, row_bytes: int) -> DataFrame:
+    """The rows of ``left`` whose key is in ``right``, with its columns; hot keys are spread where it is not broadcast."""
+    if fits(right, row_bytes):
+        return left.join(F.broadcast(right), key)
+    found = attach(left, right.withColumn("__hit", F.lit(True)).withColumn("__w", F.col(weight)), key, "__w")
+    return found.filter("__hit").drop("__hit")
+
+
+def _leaves(lines: DataFrame, least: int) -> DataFrame:
+    """(text_hash, pos, n, leaf, depth_at, fields, rows) of the lines in a leaf of ``least`` lines, one row per text and line.
+
+    The leaf is the first of a line's leaves that is large enough; ``depth_at`` is its number, ``rows`` the leaf's lines.
+    """
+    each = lines.select("text_hash", "pos", F.posexplode("leaves").alias("depth_at", "leaf")).filter("leaf IS NOT NULL")
+    often = cut(each.groupBy("leaf").agg(F.count("*").alias("held")).filter(F.col("held") >= least))
+    found = _joined(each, often, "leaf", "held", 24)
+    chosen = found.groupBy("text_hash", "pos").agg(F.min("depth_at").alias("depth_at"))
+    place = F.xxhash64("text_hash", "pos").alias("place")
+    wide = lines.select(place, "text_hash", "pos", "n", "leaves", "fields").distinct()
+    chosen = cut(chosen.select(place, "depth_at", F.lit(1).alias("one")))
+    own = _joined(wide, chosen, "place", "one", 24)
+    own = own.select("place", "text_hash", "pos", "n", F.get("leaves", F.col("depth_at")).alias("leaf"), "depth_at", "fields")
+    own = cut(own)
+    rows = cut(own.groupBy("leaf").agg(F.count("*").alias("rows")))
+    return _joined(own, rows, "leaf", "rows", 24)
+
+
+def _templates(lines: DataFrame, least: int, depth: int) -> DataFrame:
+    """(text_hash, pos, leaf, full, key) of the lines with a template; the rule is in the module's text."""
+    placed = cut(_leaves(lines, least))
+    each = placed.select("place", "leaf", F.posexplode("fields").alias("j", "field")).withColumn(
+        "value", F.xxhash64("leaf", "j", "field")
+    )
+    common = cut(each.groupBy("value").agg(F.count("*").alias("held")).filter(F.col("held") >= least))
+    kept = _joined(each.select("place", "j", "value"), common, "value", "held", 24)
+    per_line = kept.groupBy("place").agg(F.sort_array(F.collect_list(F.struct("j", "held", "value"))).alias("kept"))
+    per_line = cut(per_line.withColumn("one", F.lit(1)))
+    both = _joined(placed.withColumn("size", F.size("fields")).drop("fields"), per_line, "place", "one", 32 * FIELDS)
+    # Fields that make the leaf say nothing about the rest; only fields of one token do so.
+    of_leaf = F.when(F.col("n") > FIELDS, 0).otherwise(
+        F.when(F.col("depth_at") == 1, F.least(F.lit(depth), F.col("n") - depth)).otherwise(F.least(F.lit(depth), F.col("n")))
+    )
+    # A line that its leaf tells whole is left with none; then all of it is constant.
+    half = F.ceil((F.col("size") - of_leaf) / 2).cast("int")
+    ranked = F.sort_array(F.transform("kept", lambda x: x["held"]), False)
+    m = F.when(half == 0, F.col("rows")).otherwise(F.get(ranked, of_leaf + half - 1))
+    told = both.withColumns({"m": m, "of_leaf": of_leaf}).filter(F.col("m") >= least)
+    told = told.withColumn("constant", F.filter("kept", lambda x: x["held"] * 2 >= F.col("m")))
+    evidence = F.size("constant") - F.col("of_leaf")
+    whole = F.size("constant") == F.col("size")
+    sure = whole | (F.col("m") * DOMINANT >= F.col("rows")) | (evidence >= EVIDENCE)
+    key = F.xxhash64("leaf", F.transform("constant", lambda x: x["value"]))
+    return told.filter(sure).select("text_hash", "pos", "leaf", (F.col("n") >= FULL_TOKENS).alias("full"), key.alias("key"))
 
 
 def _families(lines: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -176,40 +230,32 @@ def recurring(
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, short_docs: int = SHORT_DOCS, depth: int = DEPTH) -> DataFrame:
-    """(doc_id, text_hash, positions) of documents with lines to drop; positions count from 0."""
+    """(text_hash, positions) of the texts with lines to drop; positions count from 0."""
     lines = cut(parsed_lines(docs, depth))
-    own = lines.select("doc_id", "text_hash", "pos", "leaf", (F.col("n") >= FULL_TOKENS).alias("full"), F.explode("keys").alias("key"))
-    # A template in fewer rows than the lower bar cannot recur.
-    often = cut(own.groupBy("key").agg(F.count("*").alias("rows")).filter(F.col("rows") >= min(min_docs, short_docs)))
-    if fits(often, 24):
-        held = own.join(F.broadcast(often.select("key")), "key", "left_semi")
-    else:
-        held = attach(own, often.withColumn("hit", F.lit(True)), "key", "rows").filter("hit").drop("hit")
-    held = cut(held)
+    own = cut(_templates(lines, min(min_docs, short_docs), depth))
+    # A template in fewer texts than the lower bar cannot recur.
+    often = cut(own.groupBy("key").agg(F.count("*").alias("held")).filter(F.col("held") >= min(min_docs, short_docs)))
+    held = cut(_joined(own, often, "key", "held", 24).drop("held"))
     known, spared = recurring(lines, held.select("text_hash", "key", "leaf", "full"), min_docs, short_docs)
-    known = cut(known)
-    if fits(known, 32):
-        marked = held.join(F.broadcast(known.select("key", "major")), "key")
-    else:
-        marked = attach(held, known.withColumn("hit", F.lit(True)), "key", "texts").filter("hit")
+    marked = _joined(held, cut(known), "key", "texts", 40)
     marked = marked.join(bounded(spared, 24), ["text_hash", "major"], "left_anti")
-    return marked.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("positions"))
+    return marked.groupBy("text_hash").agg(F.collect_set("pos").alias("positions"))
 
 
 def without_recurring(
     docs: DataFrame, min_docs: int = MIN_DOCS, short_docs: int = SHORT_DOCS, depth: int = DEPTH, counts: bool = False
 ) -> DataFrame:
     """``docs`` without its recurring lines, the columns as they are; with ``counts`` also n_lines and n_dropped."""
-    drops = cut(dropped_lines(docs, min_docs, short_docs, depth))
-    size = drops.agg(F.sum(F.size("positions") * 8 + 64)).first()[0] or 0
-    right = drops.select(
-        F.col("doc_id").alias("__drop_id"), F.col("text_hash").alias("__drop_hash"), F.col("positions").alias("__drop_at")
-    )
-    right = F.broadcast(right) if size <= BROADCAST_BYTES else right
+    drops = cut(dropped_lines(docs, min_docs, short_docs, depth)).withColumnRenamed("positions", "__drop_at")
+    drops = drops.withColumnRenamed("text_hash", "__text_hash")
+    size = drops.agg(F.sum(F.size("__drop_at") * 8 + 64)).first()[0] or 0
     hashed = docs.withColumn("__text_hash", F.xxhash64("text"))
-    joined = hashed.join(
-        right, F.col("doc_id").eqNullSafe(F.col("__drop_id")) & (F.col("__text_hash") == F.col("__drop_hash")), "left"
-    )
+    if size <= BROADCAST_BYTES:
+        joined = hashed.join(F.broadcast(drops), "__text_hash", "left")
+    else:
+        # A text of many copies is one row here; its rows are counted, so that they can be spread.
+        weights = hashed.groupBy("__text_hash").agg(F.count("*").alias("__weight"))
+        joined = attach(hashed, cut(drops.join(weights, "__text_hash")), "__text_hash", "__weight")
     lines = F.split("text", "\n")
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__drop_at", i)), "\n")
     changed = F.col("__drop_at").isNotNull()
