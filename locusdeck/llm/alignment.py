@@ -73,15 +73,18 @@ class Aligner:
         count = [np.array([len(x) for x in side]) for side in sides]
         flat = [np.concatenate(side) for side in sides]
         ends = [np.cumsum(size[ids]) for size, ids in zip(self.size, flat)]
-        links = np.union1d(*ends)
-        groups = np.intersect1d(*ends, assume_unique=False)
+        # Both are in order, so merging them is a sort that moves little.
+        links = np.sort(np.concatenate(ends), kind="stable")
+        links = links[np.r_[True, links[1:] != links[:-1]][: len(links)]]
+        at = [np.searchsorted(end, links) for end in ends]
+        groups = links[(ends[0][at[0]] == links) & (ends[1][at[1]] == links)]
         # The last byte of each stretch that has any; both sides end there.
         owner = [np.repeat(np.arange(len(stretch)), c) for c in count]
         last = np.zeros(len(stretch), np.int64)
         last[owner[0]] = ends[0]
         last = np.maximum.accumulate(last)
         of = lambda offsets: np.searchsorted(last, offsets, "left")
-        pair = flat[0][np.searchsorted(ends[0], links)] << 32 | flat[1][np.searchsorted(ends[1], links)]
+        pair = flat[0][at[0]] << 32 | flat[1][at[1]]
         link_of = of(links)
         order = np.lexsort((pair, link_of))
         pair, link_of = pair[order], link_of[order]
