@@ -134,19 +134,22 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> D
     Rows with the same id, or without one, are told apart by their text; where those tie too they
     are equal but for other columns, and any one stays.
     """
-    found = cut(near_duplicates(docs, size, radius))
+    # Rows travel whole in one column, so their own columns may have any name.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    packed = docs.select(whole, F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
+    found = cut(near_duplicates(packed, size, radius))
     gone = found.filter(F.col("component_id").isNotNull() & (F.col("doc_id") != F.col("component_id")))
     gone = gone.select("doc_id").distinct()
-    kept = docs.join(bounded(gone, 24), "doc_id", "left_anti").select(*docs.columns)
+    kept = packed.join(bounded(gone, 24), "doc_id", "left_anti")
     odd = found.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").select("doc_id")
     if odd.isEmpty():
-        return kept
+        return kept.select("row.*")
     odd = cut(odd).select(F.col("doc_id").alias("_odd"))
     same = F.col("doc_id").eqNullSafe(F.col("_odd"))
-    regular = kept.join(odd, same, "left_anti")
-    rows = fingerprints(docs.join(odd, same, "left_semi"), tuple(docs.columns), size)
+    regular = kept.join(odd, same, "left_anti").select("row")
+    rows = fingerprints(packed.join(odd, same, "left_semi"), ("row", "doc_id", "text"), size)
     component = found.select("fp", "root", "component_id").distinct().withColumnRenamed("fp", "_fp")
     own = rows.join(component, F.col("fp") == F.col("_fp"))
     first = Window.partitionBy("root").orderBy("doc_id", "text")
     left = own.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).withColumn("_nth", F.row_number().over(first))
-    return regular.unionByName(left.filter("_nth = 1").select(*docs.columns))
+    return regular.unionByName(left.filter("_nth = 1").select("row")).select("row.*")

@@ -1,8 +1,8 @@
 """Line dedup with a log-template tree: lines whose template recurs across documents are dropped.
 
 The tree has a fixed depth: number of tokens, then DEPTH leading tokens; tokens that hold digits are variable from the
-start. A child that is rare goes to its node's wild child: a line whose leading tokens make no leaf of ``min_docs`` lines goes by
-the DEPTH tokens after them, and failing that by its last DEPTH tokens. A line is a row of FIELDS fields at most (single tokens;
+start. A child that is rare goes to its node's wild child: a line goes by the DEPTH tokens after its leading ones, or by its
+last DEPTH tokens, where that makes a leaf of more than twice the size. A line is a row of FIELDS fields at most (single tokens;
 in longer lines, runs of equal length). In a leaf, the texts that have a field's value in its place are counted;
 the value stays part of the template if it is about as frequent as the line's other fields, and is generalised otherwise:
 ``m`` is the frequency that half of the fields reach (those that make the leaf left aside), and values with less than half
@@ -99,12 +99,16 @@ def _joined(left: DataFrame, right: DataFrame, key: str, weight: str, row_bytes:
 def _leaves(lines: DataFrame, least: int) -> DataFrame:
     """(text_hash, pos, n, leaf, depth_at, fields, rows) of the lines in a leaf of ``least`` lines, one row per text and line.
 
-    The leaf is the first of a line's leaves that is large enough; ``depth_at`` is its number, ``rows`` the leaf's lines.
+    The leaf is the largest of a line's leaves, where one with a wild child has to be twice as large as the one before;
+    ``depth_at`` is its number, ``rows`` the leaf's lines.
     """
     each = lines.select("text_hash", "pos", F.posexplode("leaves").alias("depth_at", "leaf")).filter("leaf IS NOT NULL")
     often = cut(each.groupBy("leaf").agg(F.count("*").alias("held")).filter(F.col("held") >= least))
     found = _joined(each, often, "leaf", "held", 24)
-    chosen = found.groupBy("text_hash", "pos").agg(F.min("depth_at").alias("depth_at"))
+    # The size, doubled for every wild child that a leaf has less than the last one, and the number in one.
+    rated = (F.col("held") * F.element_at(F.array(F.lit(4), F.lit(2), F.lit(1)), F.col("depth_at") + 1)) * 4 + 2 - F.col("depth_at")
+    best = found.groupBy("text_hash", "pos").agg(F.max(rated).alias("best"))
+    chosen = best.withColumn("depth_at", (2 - F.col("best") % 4).cast("int"))
     place = F.xxhash64("text_hash", "pos").alias("place")
     wide = lines.select(place, "text_hash", "pos", "n", "leaves", "fields").distinct()
     chosen = cut(chosen.select(place, "depth_at", F.lit(1).alias("one")))

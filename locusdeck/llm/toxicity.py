@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 6_000
@@ -109,8 +109,9 @@ def labelled(docs: DataFrame, labels: DataFrame, train: Column, sample_rows: int
     if share:
         drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.create_map(*share)[F.col("toxic")] * (1 << 20)
         one = one.filter(drawn)
-    nth = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    picked = one.withColumn("_nth", nth).filter(F.col("_nth") <= sample_rows).select(F.col("doc_id").alias("_id"), "toxic")
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    of = lambda toxic: one.filter(F.col("toxic") == toxic).orderBy(*order).limit(sample_rows)
+    picked = of(0).unionByName(of(1)).select(F.col("doc_id").alias("_id"), "toxic")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return texts.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic")
 

@@ -1,7 +1,7 @@
 """WARC archives from page tables: range-sorted shards, files rolled by compressed size, manifests.
 
-Rows are dealt to shards by exact byte counts over ranges of ``page_id``, sorted within their
-shard, and written as one gzip member per record. A file is closed when its compressed size
+Rows are dealt to shards by exact byte counts over ranges of ``page_id`` (of their digests and urls within an id that is larger
+than a shard), sorted within their shard, and written as one gzip member per record. A file is closed when its compressed size
 reaches ``file_bytes``. Headers and digests are made anew from the payload and depend on nothing
 else, so equal input gives equal files whatever tasks are retried.
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusdeck.llm.shared import attach, cut, fits
@@ -35,6 +36,8 @@ SHARD_BYTES = 64 * 1024 * 1024
 FILE_BYTES = 16 * 1024 * 1024
 MIN_BYTES = 0
 BINS = 1 << 16
+#: About what a record takes besides its payload and url.
+HEADER_BYTES = 700
 ROWS_AT_ONCE = 500
 
 # --- fixed values of the archive format ---
@@ -158,33 +161,74 @@ def _renamer(folder: str):
     return run
 
 
+def _spread(low: Column, high: Column, value: Column) -> Column:
+    """The bin of a value among BINS equal ranges."""
+    # Differences of 64-bit numbers are taken exactly; only then do they become fractions.
+    exact = lambda c: c.cast("decimal(20,0)")
+    share = (exact(value) - exact(low)).cast("double") / ((exact(high) - exact(low)).cast("double") + 1.0)
+    return F.least(F.lit(BINS - 1), F.floor(share * BINS)).cast("int")
+
+
 def sharded(records: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
-    """``records`` with their shard, and the number of shards.
+    """``records`` with their shard, and the number of shards: runs of records in the order of ORDER.
 
-    The bytes of BINS equal ranges of ids are counted exactly; shards are runs of ranges. A range that
-    alone exceeds a shard, such as one id that is repeated, is split by a hash of the payload's digest and url.
+    The bytes (``size``) of BINS equal ranges of ids are counted exactly. A range that is larger than a shard is cut into ranges
+    of its own, again and again; ids that are large by themselves by their payloads' digest, then by a hash of the url. Records that
+    tie in all of these are equal, and are dealt out by count.
     """
-    low, high, total = records.agg(F.min("page_id"), F.max("page_id"), F.sum("n")).first()
-    if not total or low is None:
-        return records.withColumn("shard", F.lit(0)), 1
-    place = (F.col("page_id").cast("double") - float(low)) / (float(high) - float(low) + 1.0) * BINS
-    bin_ = F.coalesce(F.floor(place).cast("int"), F.lit(-1))
-    sizes = sorted((r["bin"], r["s"]) for r in records.groupBy(bin_.alias("bin")).agg(F.sum("n").alias("s")).collect())
+    spark = records.sparkSession
+    keys = [F.col("page_id"), F.conv(F.substring("sha1", 1, 15), 16, 10).cast("long"), F.xxhash64("url")]
+    placed = records.withColumn("place", F.array().cast("array<int>"))
+    # What is to be cut next: places with the number of their key and its least and largest value.
+    cuts = [((), 0, *records.agg(F.min("page_id"), F.max("page_id")).first())]
+    done: list[tuple[tuple, int, bool]] = []
+    while cuts:
+        kind = "_place array<int>, _key int, _low long, _high long"
+        table = F.broadcast(spark.createDataFrame([(list(p), *rest) for p, *rest in cuts], kind))
+        value = F.coalesce(*[F.when(F.col("_key") == i, k) for i, k in enumerate(keys)])
+        bin_ = F.when(value.isNull(), -1).otherwise(_spread(F.col("_low"), F.col("_high"), value))
+        joined = placed.join(table, F.col("place") == F.col("_place"), "left")
+        deeper = F.when(F.col("_key").isNull(), F.col("place")).otherwise(F.concat("place", F.array(bin_)))
+        placed = joined.withColumn("place", deeper)
+        fresh = placed.filter("_key IS NOT NULL")
+        sizes = {tuple(r["place"]): (r["size"], r["_key"]) for r in fresh.groupBy("place", "_key").agg(F.sum("size").alias("size")).collect()}
+        large = {place for place, (size, _) in sizes.items() if size > shard_bytes}
+        done += [(place, size, False) for place, (size, _) in sizes.items() if place not in large]
+        cuts = []
+        if large:
+            wanted = F.broadcast(spark.createDataFrame([(list(p),) for p in large], "_large array<int>"))
+            ends = [f(k).alias(f"{n}{i}") for i, k in enumerate(keys) for n, f in (("low", F.min), ("high", F.max))]
+            for r in fresh.join(wanted, F.col("place") == F.col("_large")).groupBy("place").agg(*ends).collect():
+                place = tuple(r["place"])
+                # The first key, from the last one on, by which the place can be cut at all.
+                able = [i for i in range(sizes[place][1], len(keys)) if r[f"low{i}"] != r[f"high{i}"]]
+                if able:
+                    cuts.append((place, able[0], r[f"low{able[0]}"], r[f"high{able[0]}"]))
+                else:
+                    done.append((place, sizes[place][0], True))
+        placed = placed.drop("_place", "_key", "_low", "_high")
     rows, shard, held = [], 0, 0
-    for b, size in sizes:
+    for place, size, tied in sorted(done):
         if held and held + size > shard_bytes:
             shard, held = shard + 1, 0
-        parts = max(1, -(-size // shard_bytes))
-        rows.append((b, shard, parts))
+        parts = -(-size // shard_bytes) if tied else 1
+        rows.append((list(place), shard, parts))
         held += size
         if parts > 1:
             shard, held = shard + parts, 0
+    if not rows:
+        return records.withColumn("shard", F.lit(0)), 1
     shards = rows[-1][1] + rows[-1][2]
-    spark = records.sparkSession
-    table = F.broadcast(spark.createDataFrame(rows, "_bin int, _first int, _parts int"))
-    part = F.pmod(F.xxhash64("sha1", "url"), F.col("_parts").cast("long")).cast("int")
-    dealt = records.join(table, bin_ == F.col("_bin")).withColumn("shard", F.col("_first") + part)
-    return dealt.drop("_bin", "_first", "_parts"), shards
+    table = F.broadcast(spark.createDataFrame(rows, "_place array<int>, _first int, _parts int"))
+    dealt = placed.join(table, F.col("place") == F.col("_place")).drop("place", "_place")
+    alone = dealt.filter("_parts = 1").withColumn("shard", F.col("_first")).drop("_first", "_parts")
+    if all(parts == 1 for _, _, parts in rows):
+        return alone, shards
+    # Equal records: counted, and dealt out again by their number.
+    equal = dealt.filter("_parts > 1").groupBy(*dealt.columns).agg(F.count("*").alias("_k"))
+    each = equal.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)))
+    part = F.floor(F.col("_i") * F.col("_parts") / F.col("_k")).cast("int")
+    return alone.unionByName(each.withColumn("shard", F.col("_first") + part).select(*alone.columns)), shards
 
 
 def write(
@@ -208,10 +252,12 @@ def write(
         rows = attach(rows, same, "sha1", "k")
     revisit = (F.col("n") >= min_bytes) & (F.col("page_id") != F.col("first_id"))
     rows = rows.withColumn("refers_to", F.when(revisit, F.col("first_id"))).drop("first_id")
-    dealt, shards = sharded(rows, shard_bytes)
+    payload = F.when(F.col("refers_to").isNull(), F.col("n")).otherwise(0)
+    size = payload + HEADER_BYTES + F.coalesce(F.octet_length("url"), F.lit(0))
+    dealt, shards = sharded(rows.withColumn("size", size.cast("long")), shard_bytes)
     ordered = (
         dealt.repartitionById(shards, F.col("shard"))
-        .sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "sha1", "url")
+        .sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "sha1", F.xxhash64("url"), "url")
         .select("shard", "page_id", "url", "payload", "refers_to")
     )
     fs, root = _fs(folder)
@@ -254,26 +300,51 @@ def records_of(stream) -> Iterator[tuple]:
         )
 
 
+class _Checked(io.RawIOBase):
+    """A file as it is read, with the size and digest of what has been read."""
+
+    def __init__(self, raw: pa.NativeFile):
+        self.raw, self.sha, self.size = raw, hashlib.sha256(), 0
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        data = self.raw.read(len(buffer))
+        buffer[: len(data)] = data
+        self.sha.update(data)
+        self.size += len(data)
+        return len(data)
+
+
 def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
-    """The records of a committed archive; ``payload`` is NULL for revisits and if not asked for."""
+    """The records of a committed archive; ``payload`` is NULL for revisits and if not asked for.
+
+    A file that differs from the manifest in size, digest or number of records is an error.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _fs(folder)
         names = [c.split()[0] for c in RECORDS.split(", ")]
         kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string())
         for batch in batches:
-            for name in batch.column(0).to_pylist():
-                with fs.open_input_file(f"{root}/{name}") as raw, gzip.GzipFile(fileobj=raw) as stream:
+            for name, size, count, sha in zip(*(c.to_pylist() for c in batch.columns)):
+                with fs.open_input_file(f"{root}/{name}") as raw:
+                    checked, seen = _Checked(raw), 0
                     held: list[tuple] = []
-                    for row in records_of(stream):
-                        held.append(row if payloads else (*row[:-1], None))
-                        if len(held) == ROWS_AT_ONCE:
-                            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
-                            held = []
+                    with gzip.GzipFile(fileobj=io.BufferedReader(checked, 1 << 18)) as stream:
+                        for row in records_of(stream):
+                            seen += 1
+                            held.append(row if payloads else (*row[:-1], None))
+                            if len(held) == ROWS_AT_ONCE:
+                                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
+                                held = []
+                    if (checked.size, seen, checked.sha.hexdigest()) != (size, count, sha):
+                        raise ValueError(f"{name} is not the file of the manifest")
                     if held:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
 
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/_committed")
     files = manifest.count()
-    spread = manifest.select("final").repartition(max(1, min(files, 4096)))
+    spread = manifest.select("final", "bytes", "records", "sha256").repartition(max(1, min(files, 4096)))
     return spread.mapInArrow(run, RECORDS)

@@ -1,7 +1,10 @@
 """Operators over whole tables against brute force, and the pipeline's stages."""
 
+import gzip
+import itertools
 import random
-from collections import Counter
+import re
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,6 +77,24 @@ def test_one_of_each_group_stays(docs):
     assert simhash.one_of_each(docs(rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_take_odd_rows_and_any_column_names(spark, docs, name, stage):
+    rnd = random.Random(77)
+    a = prose(rnd, 60)
+    rows = [(1, a), (1, a), (2, None), (None, a), (None, None), (3, ""), (4, prose(rnd, 50)), (5, "word " * 20_000), (4, prose(rnd, 40)), (None, "x y z")]
+    names = ["fp", "root", "component_id", "_fp", "_odd", "row", "key", "t", "item", "pos", "leaf", "_text", "score", "least", "n", "_nth", "held"]
+    frame = docs(rows).withColumns({c: F.lit(c) for c in names}).withColumn("a.b", F.lit(1))
+    found = stage(spark, frame, SF)
+    kept = found.collect()
+    if name == "sentencepiece":
+        assert len(kept) == len(rows)
+    else:
+        assert found.columns == frame.columns and 0 < len(kept) <= len(rows)
+        assert Counter((r["doc_id"], r["text"]) for r in kept) <= Counter(rows)
+        assert all(r["fp"] == "fp" and r["a.b"] == 1 for r in kept)
+    assert stage(spark, frame.limit(0), SF).count() == 0
+
+
 def test_recurring_templates_go(docs):
     rnd = random.Random(9)
     passage = prose(rnd, 60)
@@ -134,6 +155,98 @@ def test_blocks_of_shared_lines_go(docs, shared, own):
     assert left == dict(enumerate(mine))
 
 
+def _template_keys(texts, least, depth=3):
+    """The rule of the module's text, line by line: (text, line) -> template."""
+    lines = {}
+    for k, text in enumerate(texts):
+        for pos, line in enumerate(text.split("\n")):
+            t = [templates.WILD if re.search("[0-9]", x) else x for x in line.split()]
+            if len(t) >= templates.MIN_TOKENS:
+                lines[k, pos] = t
+    leaves = {}
+    for place, t in lines.items():
+        n = len(t)
+        leaves[place] = [("first", n, *t[:depth]), ("later", n, *t[depth : 2 * depth]) if n > depth else None, ("last", n, *t[-depth:]) if n > 2 * depth else None]
+    held = Counter(x for own in leaves.values() for x in own if x)
+    leaf, fields = {}, {}
+    for place, t in lines.items():
+        good = [(held[x] * (4, 2, 1)[i], -i, x) for i, x in enumerate(leaves[place]) if x and held[x] >= least]
+        if good:
+            leaf[place] = max(good, key=lambda g: g[:2])[2]
+            run = -(-len(t) // templates.FIELDS)
+            fields[place] = [tuple(t[i : i + run]) for i in range(0, len(t), run)]
+    rows = Counter(leaf.values())
+    value = Counter((leaf[p], j, x) for p in leaf for j, x in enumerate(fields[p]))
+    out = {}
+    for p in leaf:
+        n, own = len(lines[p]), [value[leaf[p], j, x] for j, x in enumerate(fields[p])]
+        kept = sorted((c for c in own if c >= least), reverse=True)
+        skip = 0 if n > templates.FIELDS else min(depth, n - depth) if leaf[p][0] == "later" else min(depth, n)
+        half = -(-(len(own) - skip) // 2)
+        m = rows[leaf[p]] if not half else kept[skip + half - 1] if skip + half <= len(kept) else 0
+        if m >= least:
+            constant = [(j, x) for j, x in enumerate(fields[p]) if own[j] >= least and own[j] * 2 >= m]
+            if len(constant) == len(own) or m * templates.DOMINANT >= rows[leaf[p]] or len(constant) - skip >= templates.EVIDENCE:
+                out[p] = (leaf[p], *constant)
+    return out
+
+
+def test_templates_by_brute_force(spark, docs):
+    rnd = random.Random(51)
+    few = WORDS[:25]
+    bodies = [
+        lambda: f"alpha {rnd.choice(WORDS)} beta gamma {rnd.choice(few)} delta eps zeta {rnd.choice(few)} eta theta",
+        lambda: f"{rnd.choice(WORDS)} posted by you in the news",
+        lambda: f"total {rnd.randrange(99)} of items",
+        lambda: " ".join(rnd.choice(few) for _ in range(rnd.choice([3, 4, 5, 9]))),
+        lambda: prose(rnd, 7) + " one two three four five six seven eight nine ten eleven twelve " + prose(rnd, 2),
+        lambda: "",
+        lambda: "\t".join(rnd.choice(few) for _ in range(4)) + "  x",
+    ]
+    texts = list(dict.fromkeys("\n".join(rnd.choice(bodies)() for _ in range(rnd.randrange(1, 9))) for _ in range(150)))
+    want = _template_keys(texts, 3)
+    by_hash = {r["h"]: texts[r["doc_id"]] for r in docs(list(enumerate(texts))).select("doc_id", F.xxhash64("text").alias("h")).collect()}
+    found = templates._templates(templates.parsed_lines(docs(list(enumerate(texts)))), 3, 3).collect()
+    got = {(texts.index(by_hash[r["text_hash"]]), r["pos"]): r["key"] for r in found}
+    assert len(got) == len(found) and got.keys() == want.keys() and len(want) > 100
+    assert len({(got[p], want[p]) for p in want}) == len(set(got.values())) == len(set(want.values()))
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "dear {} we have sent the parcel that you asked for to the town today",
+        "dear friend we have sent the parcel of {} that you asked for to the town of {} today with love",
+        "on {} the report of {} was read by all and the vote of {} was held in the end as it was before",
+        "{} posted this in the great hall of news",
+        "by {} posted in the great hall of {} news today",
+        "it was {}",
+        "posted by {} in news",
+    ],
+)
+def test_templates_with_word_fields_go(docs, line):
+    """60 unrelated documents share a line whose fields hold words, some of them often."""
+    rnd = random.Random(len(line))
+    own = [prose(rnd, 30) + "\n" + prose(rnd, 20) for _ in range(60)]
+    name = lambda: rnd.choice(WORDS) + rnd.choice(WORDS) if rnd.random() < 0.7 else rnd.choice(WORDS[:6])
+    rows = [(i, f"{t}\n{line.format(name(), name(), name())}") for i, t in enumerate(own)]
+    left = {r["doc_id"]: r["text"] for r in templates.without_recurring(docs(rows)).collect()}
+    clean = sum(left[i] == t for i, t in enumerate(own))
+    assert all(left[i].startswith(t) for i, t in enumerate(own))
+    # Lines of three tokens have nothing but their leading tokens to go by.
+    assert clean == 0 if line == "it was {}" else clean >= 54
+
+
+def test_prose_of_common_words_stays(docs):
+    rnd = random.Random(61)
+    common = ["the", "of", "and", "to", "in", "is", "a", "it"]
+    sentence = lambda: " ".join(rnd.choice(common) if rnd.random() < 0.5 else rnd.choice(WORDS) for _ in range(rnd.randrange(5, 14)))
+    rows = [(i, "\n".join(sentence() for _ in range(12))) for i in range(400)]
+    left = {r["doc_id"]: r["text"] for r in templates.without_recurring(docs(rows)).collect()}
+    kept = sum(len(left[i].split("\n")) for i, _ in rows)
+    assert kept >= 0.995 * 400 * 12
+
+
 def _spots(text):
     common, out = set(spots.ANCHORS), set()
     w = text.lower().split()
@@ -201,6 +314,70 @@ def test_substituted_benchmark_items_are_found(spark, docs):
     assert seeds.clean(docs(rows), bench.limit(0)).count() == len(rows)
 
 
+def test_the_masks_reach_every_accepted_pattern():
+    for n in range(seeds.LEAST, seeds.WINDOW + 1):
+        fewest = None
+        for wrong in itertools.combinations(range(n), n - -(-n * 4 // 5)):
+            places = [[i for i, c in enumerate(m) if c == "1"] for m in seeds.MASKS]
+            found = sum(all(a + i not in wrong for i in p) for m, p in zip(seeds.MASKS, places) for a in range(n - len(m) + 1))
+            fewest = found if fewest is None else min(fewest, found)
+        assert fewest == seeds.least_hits(n, n - -(-n * 4 // 5)) > 0
+
+
+@pytest.mark.parametrize("n", [5, 9, 10, 12, 13, 16, 20, 30])
+def test_every_pattern_of_substitutions_is_found(spark, docs, n):
+    """All patterns (of 30 tokens: random ones) that the comparison accepts, and those with one more that it does not."""
+    rnd = random.Random(n)
+    item = rnd.sample(WORDS, n)
+    most = min(n, 20) - -(-min(n, 20) * 4 // 5)
+    patterns = list(itertools.combinations(range(n), most)) if n <= 20 else [tuple(rnd.sample(range(5, 25), most)) for _ in range(300)]
+    rows = []
+    for i, wrong in enumerate(patterns):
+        w = [f"new{chr(97 + k % 26)}" if k in wrong else x for k, x in enumerate(item)]
+        rows.append((i, " ".join(["aa bb", *w, "cc dd"])))
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {r["doc_id"] for r in seeds.contaminated(docs(rows), bench).collect()}
+    assert found == set(range(len(rows)))
+    if n <= 20:
+        over = [tuple(rnd.sample(range(n), most + 1)) for _ in range(60)]
+        rows = [(i, " ".join(f"new{k}" if k in wrong else x for k, x in enumerate(item))) for i, wrong in enumerate(over)]
+        assert seeds.contaminated(docs(rows), bench).count() == 0
+
+
+def _overlaps(text, items):
+    """Items of which some 20 tokens in a row (all of a shorter one) agree in 0.8 of their places, by trying all places."""
+    w, out = re.findall(r"[^\W_]+", (text or "").lower()), set()
+    for key, t in items:
+        v = re.findall(r"[^\W_]+", (t or "").lower())
+        size = min(len(v), 20)
+        if 0 < len(v) < seeds.LEAST and v == w:
+            out.add(key)
+        if len(v) >= seeds.LEAST:
+            for a in range(len(v) - size + 1):
+                for b in range(len(w) - size + 1):
+                    if sum(x == y for x, y in zip(v[a : a + size], w[b : b + size])) >= size * 0.8 - 1e-9:
+                        out.add(key)
+    return out
+
+
+def test_contamination_by_brute_force(spark, docs):
+    rnd = random.Random(41)
+    few = WORDS[:12]  # so few words that seeds meet by chance
+    text = lambda n, of=few: " ".join(rnd.choice(of) for _ in range(n))
+    items = [(i, text(rnd.choice([1, 3, 5, 7, 12, 25]), rnd.choice([few, WORDS]))) for i in range(25)] + [(90, None), (91, ""), (92, "ba")]
+    rows = [(i, text(rnd.choice([1, 4, 20, 60]))) for i in range(60)] + [(100, "Ba!"), (101, None), (102, ""), (None, items[4][1]), (104, items[6][1])]
+    rows += [(200 + i, text(9, WORDS) + " " + items[i][1] + " " + text(9, WORDS)) for i in range(25)] + [rows[3]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = docs(rows).withColumns({"t": F.lit("clash"), "seed": F.lit(1), "item": F.lit(2), "item_id": F.lit(3)})
+    found = {(r["doc_id"], r["item_id"]) for r in seeds.contaminated(frame, bench).collect()}
+    want = {(i, k) for i, t in rows for k in _overlaps(t, items)}
+    assert found == want and len(want) > 15
+    bad = {i for i, _ in want}
+    kept = seeds.clean(frame, bench)
+    assert kept.columns == frame.columns
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(i for i, _ in rows if i not in bad)
+
+
 def test_archives_round_trip(spark, tmp_path):
     rnd = random.Random(13)
     rows = [(i, f"http://h/{i}", prose(rnd, 200)) for i in range(60)] + [(100, None, None), (101, "http://x y\r\n", ""), (102, "u", "same é")]
@@ -223,6 +400,53 @@ def test_archives_round_trip(spark, tmp_path):
         assert any(r["page_id"] == page and r["payload_digest"] == warc.sha1_base32((html or "").encode()) for r in got)
 
 
+def _shards(spark, rows, tmp_path, **how):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folders = [str(tmp_path / n) for n in ("one", "two")]
+    found = [warc.write(p, f, file_bytes=1 << 20, **how).orderBy("final") for p, f in zip((pages, pages.repartition(7)), folders)]
+    listed = [[(r["final"], r["sha256"]) for r in m.collect()] for m in found]
+    assert listed[0] == listed[1]
+    per_shard = {}
+    for name in sorted(n for n, _ in listed[0]):
+        with gzip.open(f"{folders[0]}/{name}") as stream:
+            per_shard.setdefault(name.split("-")[1], []).extend(r[0] for r in warc.records_of(stream))
+    got = Counter((r["page_id"], r["url"], r["payload_bytes"]) for r in warc.read(spark, folders[0]).collect())
+    assert got == Counter((i, u, len((h or "").encode())) for i, u, h in rows)
+    return [per_shard[k] for k in sorted(per_shard)]
+
+
+def test_shards_are_ranges_of_ids_whatever_their_spread(spark, tmp_path):
+    rnd = random.Random(71)
+    rows = [(i, f"u{i}", prose(rnd, 60)) for i in range(400)] + [(10**15, "far", "x"), (-(2**62), "low", "y"), (2**62, "high", "z")]
+    shards = _shards(spark, rows, tmp_path, shard_bytes=20_000)
+    assert len(shards) > 10 and max(map(len, shards)) < 60
+    assert all(a[-1] < b[0] for a, b in zip(shards, shards[1:]))
+
+
+def test_equal_records_are_dealt_to_several_shards(spark, tmp_path):
+    rows = [(7, "u", "same text " * 30)] * 500 + [(7, f"v{i}", f"other {i}") for i in range(20)] + [(3, "a", "b"), (None, "n", None)]
+    shards = _shards(spark, rows, tmp_path, shard_bytes=40_000)
+    assert len(shards) > 5 and max(map(len, shards)) < 200
+    ids = [i for s in shards for i in s]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+
+
+def test_empty_pages_and_pages_without_ids_take_space(spark, tmp_path):
+    shards = _shards(spark, [(i, None, None) for i in range(600)] + [(None, f"n{i}", None) for i in range(300)], tmp_path, shard_bytes=50_000)
+    assert len(shards) > 8 and max(map(len, shards)) < 200
+
+
+def test_a_file_that_is_not_the_manifests_is_an_error(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"text {i}") for i in range(5)], "page_id long, url string, html string")
+    (row,) = warc.write(pages, str(tmp_path / "w")).collect()
+    path = tmp_path / "w" / row["final"]
+    with gzip.open(path) as stream:
+        whole = stream.read()
+    path.write_bytes(gzip.compress(whole))  # the same records, packed anew
+    with pytest.raises(Exception, match="not the file of the manifest"):
+        warc.read(spark, str(tmp_path / "w")).collect()
+
+
 def _verdict(url):
     rest = (url or "").partition("://")[2]
     host = rest
