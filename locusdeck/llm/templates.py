@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusdeck.llm.components import components
-from locusdeck.llm.shared import BROADCAST_BYTES, attach, bounded, cut, fits, indices, let
+from locusdeck.llm.shared import BROADCAST_BYTES, attach, bounded, cut, fits
 
 DEPTH = 3
 FIELDS = 16
@@ -44,48 +44,55 @@ PART, PARTS = 5, 4
 MIN_DOCS, SHORT_DOCS = 3, 30
 MIN_TOKENS, FULL_TOKENS = 3, 8
 WILD = "<*>"
-_SPACE = " \t\r\f\x0b"
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """(text_hash, pos, line) of every line."""
+    return docs.select(F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
 def _tokens(line: Column) -> Column:
-    """The tokens of a line, those that hold a digit generalised."""
-    single = F.when(line.rlike("[\\t\\r\\f\\x0b]|  "), F.regexp_replace(line, "[ \\t\\r\\f\\x0b]+", " ")).otherwise(line)
-    masked = F.regexp_replace(single, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", WILD)
-    return F.split(F.when(single.rlike("[0-9]"), masked).otherwise(single), " ")
-
-
-def _parsed(line: Column, depth: int) -> Column:
-    """Token count, leaves, parts and fields of a line, all hashed."""
-    trimmed = F.btrim(line, F.lit(_SPACE))
-
-    def keyed(t: Column) -> Column:
-        n = F.size(t)
-        some = lambda start, kind: F.xxhash64(n, F.lit(kind), F.slice(t, start, F.lit(depth)))
-        first = some(F.lit(1), "first")
-        later = F.when(n > depth, F.xxhash64(n, F.lit("later"), F.slice(t, depth + 1, F.least(F.lit(depth), n - depth))))
-        last = F.when(n > 2 * depth, some(n - depth + 1, "last"))
-        k = F.greatest(F.least(n, F.lit(MIN_TOKENS)), F.least(F.floor(n / 2).cast("int"), F.lit(PART)))
-        each = indices(F.least(F.lit(PARTS), F.floor(n / k).cast("int")))
-        heads = F.transform(each, lambda j: F.xxhash64(F.slice(t, j * k + 1, k)))
-        tails = F.transform(each, lambda j: F.xxhash64(F.slice(t, n - (j + 1) * k + 1, k)))
-        parts = F.array_distinct(F.concat(heads, tails))
-        run = F.ceil(n / FIELDS).cast("int")
-        fields = F.transform(indices(F.ceil(n / run).cast("int")), lambda j: F.xxhash64(F.slice(t, j * run + 1, run)))
-        return F.struct(n.alias("n"), F.array(first, later, last).alias("leaves"), parts.alias("parts"), fields.alias("fields"))
-
-    # Lines that are too short are not looked at any further.
-    long_enough = F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "))) >= 1
-    return F.when(long_enough | trimmed.rlike("[\\t\\r\\f\\x0b]"), let(_tokens(trimmed), keyed))
+    """The tokens of a line, those that hold a digit generalised.
+
+    All of it is plain expressions, which Spark compiles; functions over array elements would be interpreted.
+    """
+    spaced = F.regexp_replace(line, "[ \\t\\r\\f\\x0b]+", " ")
+    masked = F.regexp_replace(spaced, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", WILD)
+    odd = line.rlike("[\\t\\r\\f\\x0b0-9]") | line.contains("  ")
+    return F.split(F.trim(F.when(odd, masked).otherwise(line)), " ")
+
+
+def _part_size(n: Column) -> Column:
+    return F.greatest(F.least(n, F.lit(MIN_TOKENS)), F.least(F.floor(n / 2).cast("int"), F.lit(PART)))
 
 
 def parsed_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """(text_hash, pos, n, leaf, leaves, parts, fields) of every line that counts."""
-    per_doc = docs.select(
-        F.xxhash64("text").alias("text_hash"),
-        F.posexplode(F.transform(F.split("text", "\n"), lambda x: _parsed(x, depth))).alias("pos", "line"),
-    )
-    lines = per_doc.filter(F.col("line.n") >= min_tokens)
-    return lines.select("text_hash", "pos", "line.n", F.col("line.leaves")[0].alias("leaf"), "line.leaves", "line.parts", "line.fields")
+    """(text_hash, pos, n, leaf, leaves, parts) of every line that counts, all but the place and n hashed.
+
+    The lines are written before the short ones go: a filter on n would be pushed down and split every line again.
+    """
+    t, n, k = F.col("t"), F.col("n"), F.col("k")
+    rows = _lines(docs).select("text_hash", "pos", _tokens(F.col("line")).alias("t"))
+    sized = rows.select("text_hash", "pos", "t", F.size("t").alias("n")).withColumn("k", _part_size(n))
+    some = lambda start, kind, size=F.lit(depth): F.xxhash64(n, F.lit(kind), F.slice(t, start, size))
+    first = some(F.lit(1), "first")
+    later = F.when(n > depth, some(F.lit(depth + 1), "later", F.least(F.lit(depth), n - depth)))
+    last = F.when(n > 2 * depth, some(n - depth + 1, "last"))
+    ends = [F.when((j + 1) * k <= n, F.xxhash64(F.slice(t, start, k))) for j in range(PARTS) for start in (j * k + 1, n - (j + 1) * k + 1)]
+    parts = F.array_except(F.array(*ends), F.array(F.lit(None).cast("long")))
+    found = sized.select("text_hash", "pos", "n", first.alias("leaf"), F.array(first, later, last).alias("leaves"), parts.alias("parts"))
+    return cut(found).filter(n >= min_tokens)
+
+
+def _fields(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(place, text_hash, pos, n, leaf, depth_at, size, f0, f1, ...) of the lines of ``chosen``, one row per text and line."""
+    placed = _lines(docs).withColumn("place", F.xxhash64("text_hash", "pos"))
+    rows = _joined(placed, chosen, "place", "one", 64)
+    n, run = F.col("n"), F.col("run")
+    rows = rows.withColumn("t", _tokens(F.col("line"))).withColumn("n", F.size("t")).withColumn("run", F.ceil(n / FIELDS).cast("int"))
+    each = [F.when(j * run < n, F.xxhash64(F.slice("t", j * run + 1, run))).alias(f"f{j}") for j in range(FIELDS)]
+    size = F.ceil(n / run).cast("int").alias("size")
+    return rows.select("place", "text_hash", "pos", "n", "leaf", "depth_at", size, *each).distinct()
 
 
 def _joined(left: DataFrame, right: DataFrame, key: str, weight: str, row_bytes: int) -> DataFrame:
@@ -97,39 +104,39 @@ def _joined(left: DataFrame, right: DataFrame, key: str, weight: str, row_bytes:
 
 
 def _leaves(lines: DataFrame, least: int) -> DataFrame:
-    """(text_hash, pos, n, leaf, depth_at, fields, rows) of the lines in a leaf of ``least`` lines, one row per text and line.
+    """(place, depth_at, leaf, one) of the lines in a leaf of ``least`` lines; ``place`` is a hash of text and line.
 
     The leaf is the largest of a line's leaves, where one with a wild child has to be twice as large as the one before;
-    ``depth_at`` is its number, ``rows`` the leaf's lines.
+    ``depth_at`` is its number.
     """
-    each = lines.select("text_hash", "pos", F.posexplode("leaves").alias("depth_at", "leaf")).filter("leaf IS NOT NULL")
+    place = F.xxhash64("text_hash", "pos").alias("place")
+    each = lines.select(place, F.posexplode("leaves").alias("depth_at", "leaf")).filter("leaf IS NOT NULL")
     often = cut(each.groupBy("leaf").agg(F.count("*").alias("held")).filter(F.col("held") >= least))
-    found = _joined(each, often, "leaf", "held", 24)
+    found = _joined(each, often, "leaf", "held", 64)
     # The size, doubled for every wild child that a leaf has less than the last one, and the number in one.
     rated = (F.col("held") * F.element_at(F.array(F.lit(4), F.lit(2), F.lit(1)), F.col("depth_at") + 1)) * 4 + 2 - F.col("depth_at")
-    best = found.groupBy("text_hash", "pos").agg(F.max(rated).alias("best"))
-    chosen = best.withColumn("depth_at", (2 - F.col("best") % 4).cast("int"))
-    place = F.xxhash64("text_hash", "pos").alias("place")
-    wide = lines.select(place, "text_hash", "pos", "n", "leaves", "fields").distinct()
-    chosen = cut(chosen.select(place, "depth_at", F.lit(1).alias("one")))
-    own = _joined(wide, chosen, "place", "one", 24)
-    own = own.select("place", "text_hash", "pos", "n", F.get("leaves", F.col("depth_at")).alias("leaf"), "depth_at", "fields")
-    own = cut(own)
-    rows = cut(own.groupBy("leaf").agg(F.count("*").alias("rows")))
-    return _joined(own, rows, "leaf", "rows", 24)
+    best = found.groupBy("place").agg(
+        F.max(rated).alias("best"), *[F.max(F.when(F.col("depth_at") == i, F.col("leaf"))).alias(f"l{i}") for i in range(3)]
+    )
+    at = (2 - F.col("best") % 4).cast("int").alias("depth_at")
+    named = best.select("place", at, "l0", "l1", "l2")
+    leaf = F.when(F.col("depth_at") == 0, F.col("l0")).when(F.col("depth_at") == 1, F.col("l1")).otherwise(F.col("l2"))
+    return named.select("place", "depth_at", leaf.alias("leaf"), F.lit(1).alias("one"))
 
 
-def _templates(lines: DataFrame, least: int, depth: int) -> DataFrame:
+def _templates(docs: DataFrame, lines: DataFrame, least: int, depth: int) -> DataFrame:
     """(text_hash, pos, leaf, full, key) of the lines with a template; the rule is in the module's text."""
-    placed = cut(_leaves(lines, least))
-    each = placed.select("place", "leaf", F.posexplode("fields").alias("j", "field")).withColumn(
-        "value", F.xxhash64("leaf", "j", "field")
-    )
+    own = cut(_fields(docs, cut(_leaves(lines, least))))
+    rows = cut(own.groupBy("leaf").agg(F.count("*").alias("rows")))
+    fields = F.array(*[f"f{j}" for j in range(FIELDS)])
+    each = own.select("place", "leaf", F.posexplode(fields).alias("j", "field")).filter("field IS NOT NULL")
+    each = each.select("place", "j", F.xxhash64("leaf", "j", "field").alias("value"))
     common = cut(each.groupBy("value").agg(F.count("*").alias("held")).filter(F.col("held") >= least))
-    kept = _joined(each.select("place", "j", "value"), common, "value", "held", 24)
+    kept = _joined(each, common, "value", "held", 64)
     per_line = kept.groupBy("place").agg(F.sort_array(F.collect_list(F.struct("j", "held", "value"))).alias("kept"))
     per_line = cut(per_line.withColumn("one", F.lit(1)))
-    both = _joined(placed.withColumn("size", F.size("fields")).drop("fields"), per_line, "place", "one", 32 * FIELDS)
+    light = own.select("place", "text_hash", "pos", "n", "leaf", "depth_at", "size")
+    both = _joined(_joined(light, per_line, "place", "one", 64 * FIELDS), rows, "leaf", "rows", 64)
     # Fields that make the leaf say nothing about the rest; only fields of one token do so.
     of_leaf = F.when(F.col("n") > FIELDS, 0).otherwise(
         F.when(F.col("depth_at") == 1, F.least(F.lit(depth), F.col("n") - depth)).otherwise(F.least(F.lit(depth), F.col("n")))
@@ -158,9 +165,9 @@ def _families(lines: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]
         F.count("*").alias("n"), F.min("text_hash").alias("low"), F.max("text_hash").alias("high")
     )
     shared = cut(spread.filter("low != high").select("part", "n", F.col("n").alias("rows")))
-    own = lines.select("text_hash", "leaf", "parts").distinct().join(bounded(texts, 16), "text_hash", "left_semi")
+    own = lines.select("text_hash", "leaf", "parts").distinct().join(bounded(texts, 48), "text_hash", "left_semi")
     each = own.select("text_hash", "leaf", F.xxhash64("leaf", "parts").alias("line"), F.explode("parts").alias("part"))
-    if fits(shared, 32):
+    if fits(shared, 64):
         found = each.join(F.broadcast(shared.drop("n")), "part", "left")
     else:
         found = attach(each, shared, "part", "n")
@@ -186,7 +193,7 @@ def _families(lines: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]
     both = least.select(F.explode(F.array("first", "second")).alias("x")).select(F.col("x.id").alias("a"), F.explode("x.like").alias("b"))
     roots = cut(components(both))
     for name in ("first", "second"):
-        known = bounded(roots, 24).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+        known = bounded(roots, 64).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
         one = F.struct(F.coalesce("_root", f"{name}.id").alias("id"), f"{name}.leaf")
         least = least.join(known, F.col(f"{name}.id") == F.col("_node"), "left").withColumn(name, one).drop("_node", "_root")
     return least, roots
@@ -195,10 +202,10 @@ def _families(lines: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]
 def _holders(lines: DataFrame, majors: DataFrame, roots: DataFrame) -> DataFrame:
     """(text_hash, major): the texts with a part that gives one of the families ``majors``."""
     wanted = majors.select("major").distinct()
-    nodes = roots.join(bounded(wanted, 16), F.col("root") == F.col("major")).select(F.col("node").alias("part"), "major")
+    nodes = roots.join(bounded(wanted, 48), F.col("root") == F.col("major")).select(F.col("node").alias("part"), "major")
     nodes = nodes.unionByName(wanted.select(F.col("major").alias("part"), "major")).distinct()
     parts = lines.select("text_hash", F.explode("parts").alias("part"))
-    return parts.join(bounded(nodes, 24), "part").select("text_hash", "major").distinct()
+    return parts.join(bounded(nodes, 64), "part").select("text_hash", "major").distinct()
 
 
 def recurring(
@@ -211,7 +218,7 @@ def recurring(
     rows = held.distinct()
     families, roots = _families(lines, rows.select("text_hash").distinct())
     family = F.when(F.col("leaf") == F.col("first.leaf"), F.col("second.id")).otherwise(F.col("first.id"))
-    texts = cut(rows.join(bounded(families, 64), "text_hash").select("key", "full", family.alias("family"), "text_hash"))
+    texts = cut(rows.join(bounded(families, 200), "text_hash").select("key", "full", family.alias("family"), "text_hash"))
     counts = texts.groupBy("key", "full", "family").agg(F.count("*").alias("c"))
     counted = F.when(F.col("family").isNull(), 1).otherwise(F.col("c"))
     spread = counts.groupBy("key", "full").agg(
@@ -224,8 +231,8 @@ def recurring(
     majors = known.filter("major IS NOT NULL")
     spared = cut(_holders(lines, majors, roots))
     # The majority's texts are one family, by whichever other lines they differ.
-    others = texts.join(bounded(majors.select("key", "major"), 24), "key").join(
-        bounded(spared, 24), ["text_hash", "major"], "left_anti"
+    others = texts.join(bounded(majors.select("key", "major"), 64), "key").join(
+        bounded(spared, 64), ["text_hash", "major"], "left_anti"
     )
     others = others.select("key", "family").distinct().groupBy("key").agg(F.count("*").alias("others"))
     kept = majors.join(others, "key").filter(F.col("others") + 1 >= enough)
@@ -235,14 +242,14 @@ def recurring(
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, short_docs: int = SHORT_DOCS, depth: int = DEPTH) -> DataFrame:
     """(text_hash, positions) of the texts with lines to drop; positions count from 0."""
-    lines = cut(parsed_lines(docs, depth))
-    own = cut(_templates(lines, min(min_docs, short_docs), depth))
+    lines = parsed_lines(docs, depth)
+    own = cut(_templates(docs, lines, min(min_docs, short_docs), depth))
     # A template in fewer texts than the lower bar cannot recur.
     often = cut(own.groupBy("key").agg(F.count("*").alias("held")).filter(F.col("held") >= min(min_docs, short_docs)))
-    held = cut(_joined(own, often, "key", "held", 24).drop("held"))
+    held = cut(_joined(own, often, "key", "held", 64).drop("held"))
     known, spared = recurring(lines, held.select("text_hash", "key", "leaf", "full"), min_docs, short_docs)
-    marked = _joined(held, cut(known), "key", "texts", 40)
-    marked = marked.join(bounded(spared, 24), ["text_hash", "major"], "left_anti")
+    marked = _joined(held, cut(known), "key", "texts", 96)
+    marked = marked.join(bounded(spared, 64), ["text_hash", "major"], "left_anti")
     return marked.groupBy("text_hash").agg(F.collect_set("pos").alias("positions"))
 
 

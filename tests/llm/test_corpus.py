@@ -206,7 +206,8 @@ def test_templates_by_brute_force(spark, docs):
     texts = list(dict.fromkeys("\n".join(rnd.choice(bodies)() for _ in range(rnd.randrange(1, 9))) for _ in range(150)))
     want = _template_keys(texts, 3)
     by_hash = {r["h"]: texts[r["doc_id"]] for r in docs(list(enumerate(texts))).select("doc_id", F.xxhash64("text").alias("h")).collect()}
-    found = templates._templates(templates.parsed_lines(docs(list(enumerate(texts)))), 3, 3).collect()
+    frame = docs(list(enumerate(texts)))
+    found = templates._templates(frame, templates.parsed_lines(frame), 3, 3).collect()
     got = {(texts.index(by_hash[r["text_hash"]]), r["pos"]): r["key"] for r in found}
     assert len(got) == len(found) and got.keys() == want.keys() and len(want) > 100
     assert len({(got[p], want[p]) for p in want}) == len(set(got.values())) == len(set(want.values()))
