@@ -82,6 +82,24 @@ def region(
     return found
 
 
+def region_keys(
+    contig: str, low: int, high: int, layout: TableSpec, columns: tuple[str, str] = ("contig", "pos_start")
+) -> list[tuple] | None:
+    """The values of a stored table's leading partition keys that rows of an interval can have.
+
+    None for a table whose leading keys are not a contig and then maybe a position. An upper bound that
+    is exclusive costs one more value at most.
+    """
+    name, position = columns
+    first, *rest = layout.partition_by
+    if not (isinstance(first, Identity) and first.column == name):
+        return None
+    if rest and isinstance(rest[0], Truncate) and rest[0].column == position:
+        width = rest[0].width
+        return [(contig, at) for at in range(low - low % width, high + 1, width)]
+    return [(contig,)]
+
+
 def regions(intervals: Iterable[tuple[str, int, int]], **how) -> Column:
     return reduce(lambda a, b: a | b, [region(c, lo, hi, **how) for c, lo, hi in intervals])
 

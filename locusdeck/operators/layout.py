@@ -17,6 +17,8 @@ from locusdeck.sources.tables import keep_layout
 
 # Shuffled rows take about this many times the space of the same rows in Parquet.
 SHUFFLE_TO_FILE = 3
+# A file counts as larger than declared beyond this many times the declared size.
+SIZE_SLACK = 1.5
 
 
 def _bloom_options(spec: TableSpec) -> dict[str, str]:
@@ -148,6 +150,40 @@ def insert_into(df: DataFrame, spec: TableSpec, name: str, using: str = "parquet
         laid_out(df, spec).write.insertInto(name)
 
 
+def create_table_as(df: DataFrame, spec: TableSpec, name: str, using: str = "parquet", location: str = "") -> None:
+    """Create a table from rows in one step, in the declared layout; without its rows there is no table.
+
+    Fails if the table exists.
+    """
+    spark = df.sparkSession
+    if using == "iceberg":
+        keys = [_partitioning(key) for key in spec.partition_by]
+        writer = to_schema(df, spec.schema).writeTo(name)
+        properties = {f"write.parquet.bloom-filter-enabled.column.{c}": "true" for c in spec.bloom}
+        properties |= {"write.target-file-size-bytes": str(spec.target_file_bytes), "write.parquet.compression-codec": spec.codec}
+    else:
+        keys = [F.col(name) for name in spec.partition_names]
+        writer = laid_out(df, spec).writeTo(name).option("compression", spec.codec)
+        properties = _bloom_options(spec)
+        for key, value in properties.items():
+            writer = writer.option(key, value)
+    for key, value in (properties | {"locusdeck.table": spec.name}).items():
+        writer = writer.tableProperty(key, value)
+    if location:
+        writer = writer.option("path", location)
+    with settings(spark, file_sized(spec)):
+        writer.using(using).partitionedBy(*keys).create()
+
+
+def _partitioning(key) -> Column:
+    """A partition key that the table format derives by itself."""
+    if isinstance(key, Bucket):
+        return F.partitioning.bucket(key.count, key.column)
+    if isinstance(key, Truncate):
+        return F.call_function("truncate", F.lit(key.width), F.col(key.column))
+    return F.col(key.column)
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     """Drop a table together with its data, but only one that ``create_table`` made."""
     if not spark.catalog.tableExists(name):
@@ -245,6 +281,21 @@ def sort_violations(stored: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
+def file_sizes(stored: DataFrame, spec: TableSpec) -> DataFrame:
+    """(partition keys, files, rows, bytes, largest, oversized): the files of every partition.
+
+    ``oversized`` counts files that are larger than the declared size by more than the slack of a writer's estimate.
+    Only file names and sizes are read, and no column.
+    """
+    names = spec.partition_names
+    each = stored.select(*names, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+    files = each.groupBy(*names, "file", "size").agg(F.count("*").alias("n"))
+    return files.groupBy(*names).agg(
+        F.count("*").alias("files"), F.sum("n").alias("rows"), F.sum("size").alias("bytes"), F.max("size").alias("largest"),
+        F.count_if(F.col("size") > int(spec.target_file_bytes * SIZE_SLACK)).alias("oversized"),
+    )
+
+
 def ranged(df: DataFrame, order: list[str], partitions: int | None = None) -> DataFrame:
     """A total order across tasks: range partitions, each sorted; NULLs last."""
     columns = [F.col(c).asc_nulls_last() for c in order]

@@ -14,7 +14,9 @@ from locusdeck.functions.predicates import of_samples, quality, rare, region
 from locusdeck.operators import dedup, usage
 from locusdeck.operators.carriers import cohort_carriers
 from locusdeck.operators.joins import locus_join
-from locusdeck.operators.layout import create_table, insert_into, ranged, sort_violations, write_table
+from locusdeck.operators.layout import (
+    create_table, create_table_as, file_sizes, insert_into, ranged, sort_violations, write_table,
+)
 from locusdeck.operators.normalise import annotations_of, merged, to_schema
 from locusdeck.plans import render, views
 from locusdeck.plans.catalogue import LOOKUPS, QUESTIONS, Question, shown
@@ -35,7 +37,7 @@ from locusdeck.sources.manifest import read_manifest
 from locusdeck.sources.tables import catalog_table, kept_layout, read_table, stored_layout
 from locusdeck.sources.vcf import parse_cnv, parse_variants, read_variants
 from locusdeck.streaming.ingest import batch_totals as totals
-from locusdeck.streaming.ingest import ingest_folder, read_batches
+from locusdeck.streaming.ingest import ingest_folder, read_batches, read_region
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -376,6 +378,33 @@ def region_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(found.select(*VARIANTS.names))
 
 
+def region_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from an ingested table; only the folders of the region are looked up, in every batch."""
+    _, targets = _fanned_out(spark, sf_dir)
+    layout = stored_layout(spark, targets["variants"], VARIANTS_TABLE)
+    found = read_region(spark, targets["variants"], layout, "chr7", 100_000_000, 200_000_000)
+    return shown(found.select(*VARIANTS.names))
+
+
+def layout_file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per contig of the stored table, and its files that are larger than declared; none is expected."""
+    stored, layout = stored_variants(spark, sf_dir)
+    found = file_sizes(stored, layout).groupBy(F.col("contig_part").alias("contig"))
+    return found.agg(F.sum("rows").alias("n"), F.sum("oversized").alias("oversized"))
+
+
+def create_as_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants of a catalog table that was created from them in one step."""
+
+    def make(path: str) -> str:
+        name = path.rsplit("/", 1)[-1].replace("-", "_")
+        spec = _fitted(spark, sf_dir, VARIANTS_TABLE, "lineitem", views.LEAST_PARTS)
+        create_table_as(views.variants(spark, sf_dir), spec, name, location=path)
+        return name
+
+    return shown(catalog_table(spark, once(spark, sf_dir, "created", make), VARIANTS_TABLE))
+
+
 def sample_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, layout = stored_variants(spark, sf_dir)
     return shown(stored.filter(of_samples(["S1", "S2"], layout=layout)).select(*VARIANTS.names))
@@ -580,6 +609,9 @@ QUERIES: dict[str, Query] = {
     "write_read_tpm": _write_read(views.tpm, TPM_TABLE, "supplier"),
     "write_read_cnv": _write_read(views.cnv, CNV_TABLE, "orders"),
     "region_pruned": region_pruned,
+    "region_listed": region_listed,
+    "layout_file_sizes": layout_file_sizes,
+    "create_as_select": create_as_select,
     "sample_pruned": sample_pruned,
     "batch_sorted": batch_sorted,
     "sorted_check": sorted_check,

@@ -351,6 +351,9 @@ OPERATORS: dict[str, str] = {
         " WHERE sample_name = 'S1' AND contig = 'chr12' AND pos_start BETWEEN 1 AND 150000000"
     ),
     "region_pruned": _variant_rows("contig = 'chr7' AND pos_start BETWEEN 100000000 AND 200000000"),
+    "region_listed": _variant_rows("contig = 'chr7' AND pos_start BETWEEN 100000000 AND 200000000"),
+    "layout_file_sizes": over_views("SELECT contig, count(*) AS n, 0 AS oversized FROM fx_variants GROUP BY 1"),
+    "create_as_select": _variant_rows("TRUE"),
     "sample_pruned": _variant_rows("sample_name IN ('S1', 'S2')"),
     "batch_sorted": over_views(
         "SELECT contig, pos_start, ref, alt, sample_name, genotype FROM fx_variants"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import io
 import os
 import uuid
@@ -179,6 +180,13 @@ def open_input(path: str) -> io.BufferedReader:
     return io.BufferedReader(_Random(path), 1 << 18)
 
 
+def open_text(path: str) -> io.TextIOWrapper:
+    """A plain or gzip text file, opened inside a task."""
+    data = open_input(path)
+    packed = data.peek(2)[:2] == b"\x1f\x8b"
+    return io.TextIOWrapper(gzip.GzipFile(fileobj=data) if packed else data, encoding="utf-8", errors="replace")
+
+
 def save(path: str, content: bytes) -> None:
     """Write a file inside a task, under a name of its own first; a repeated task writes it again."""
     system, place_ = _system(path)

@@ -1,11 +1,13 @@
 import glob
+from dataclasses import replace
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR, rows
 from locusdeck.functions.layout_keys import bucket_of, bucketed, truncated
-from locusdeck.functions.predicates import of_samples, region
+from locusdeck.functions.predicates import of_samples, region, region_keys
 from locusdeck.operators import dedup, layout
 from locusdeck.operators.joins import locus_join
 from locusdeck.plans import views
@@ -13,7 +15,7 @@ from locusdeck.schemas import (
     ANNOTATIONS_TABLE, TABLES, VARIANTS, VARIANTS_BY_SAMPLE, VARIANTS_TABLE, Bucket, Identity, TableSpec, Truncate,
 )
 from locusdeck.session import once, shared_folder
-from locusdeck.sources.tables import catalog_table, kept_layout, read_table, stored_layout
+from locusdeck.sources.tables import catalog_table, folders_of, kept_layout, read_table, stored_layout
 
 SMALL = TableSpec(
     name="variants",
@@ -158,7 +160,7 @@ def test_disorder_is_found(spark, tmp_path):
     wrong = base.coalesce(1).sortWithinPartitions(F.col("pos_start").desc())
     path = str(tmp_path / "wrong")
     wrong.write.parquet(path)
-    (found,) = layout.sort_violations(spark.read.parquet(path), spec).collect()
+    (found,) = layout.layout.sort_violations(spark.read.parquet(path), spec).collect()
     positions = [r[0] for r in wrong.select("pos_start").collect()]
     assert found["violations"] >= len(set(positions)) - 1 > 0
 
@@ -169,7 +171,7 @@ def test_disorder_between_splits_and_nulls(spark, tmp_path):
     frame = spark.createDataFrame(data, "pos_start int, ref string, alt string").coalesce(1)
     path = str(tmp_path / "nulls")
     frame.write.parquet(path)
-    (found,) = layout.sort_violations(spark.read.parquet(path), spec).collect()
+    (found,) = layout.layout.sort_violations(spark.read.parquet(path), spec).collect()
     # (1,A,NULL) before (1,A,C), and (NULL,..) before (3,..): NULLs belong last.
     assert (found["n"], found["violations"]) == (5, 2)
     big = str(tmp_path / "big")
@@ -262,3 +264,55 @@ def test_written_tables_go_where_the_cluster_says(tmp_path):
         shared_folder(_Session("spark://host:1"))
     local = _Session("local[2]")
     assert shared_folder(local) == shared_folder(local) != ""
+
+
+def test_create_as_select(spark, tmp_path):
+    spec = replace(VARIANTS_TABLE, partition_by=(Identity("contig", "contig_part"), Bucket("sample_name", 4, "sample_bucket")))
+    rows = views.variants(spark, SF_DIR)
+    for name in ("made_as", "made_bad"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    place = str(tmp_path / "made")
+    layout.create_table_as(rows, spec, "made_as", location=place)
+    assert sorted(map(repr, catalog_table(spark, "made_as", spec).collect())) == sorted(map(repr, rows.select(*spec.schema.names).collect()))
+    assert layout.sort_violations(spark.read.parquet(place), spec).agg(F.sum("violations")).first()[0] == 0
+    assert spark.sql("SHOW TBLPROPERTIES made_as").filter("key = 'locusdeck.table'").count() == 1
+    with pytest.raises(AnalysisException):
+        layout.create_table_as(rows, spec, "made_as", location=place)
+    # A select that fails leaves no table behind, and the name is free.
+    bad = rows.withColumn("read_depth", F.raise_error(F.lit("broken")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        layout.create_table_as(bad, spec, "made_bad", location=str(tmp_path / "bad"))
+    assert not spark.catalog.tableExists("made_bad")
+    layout.create_table_as(rows.limit(5), spec, "made_bad", location=str(tmp_path / "bad"))
+    assert spark.table("made_bad").count() == 5
+    layout.drop_table(spark, "made_as")
+    layout.drop_table(spark, "made_bad")
+
+
+def test_file_sizes_of_a_skewed_table(spark, tmp_path):
+    spec = replace(VARIANTS_TABLE, partition_by=(Identity("contig", "contig_part"),), target_file_bytes=150_000)
+    rows = views.variants(spark, SF_DIR)
+    hot = rows.withColumn("contig", F.when(F.rand(3) < 0.7, "chr1").otherwise(F.col("contig")))
+    more = hot.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(12)))).withColumn("pos_start", F.col("pos_start") + F.col("copy") * 31)
+    path = str(tmp_path / "t")
+    layout.write_table(more.repartition(16), spec, path)
+    found = {r["contig_part"]: r for r in layout.file_sizes(read_table(spark, path, spec), spec).collect()}
+    assert sum(r["rows"] for r in found.values()) == rows.count() * 12
+    assert found["chr1"]["files"] > 3 and all(r["oversized"] == 0 for r in found.values()), found["chr1"]
+    assert layout.file_sizes(read_table(spark, path, spec), replace(spec, target_file_bytes=100)).agg(F.min("oversized")).first()[0] > 0
+
+
+def test_a_region_lists_its_folders_only(spark, tmp_path):
+    spec = replace(VARIANTS_TABLE, partition_by=(Identity("contig", "contig_part"), Truncate("pos_start", 20_000_000), Bucket("sample_name", 2, "b")))
+    assert region_keys("chr7", 25_000_000, 60_000_000, spec) == [("chr7", 20_000_000), ("chr7", 40_000_000), ("chr7", 60_000_000)]
+    assert region_keys("chr7", 0, 1, TABLES["variants_by_sample"]) is None
+    rows = views.variants(spark, SF_DIR).withColumn("contig", F.concat(F.col("contig"), F.lit(":x %")))
+    path = str(tmp_path / "t")
+    layout.write_table(rows, spec, path)
+    keys = region_keys("chr7:x %", 25_000_000, 60_000_000, spec)
+    part = read_table(spark, path, spec, folders=folders_of(spark, path, spec, keys))
+    assert {tuple(r) for r in part.select("contig_part", "pos_trunc").distinct().collect()} <= set(keys)
+    where = region("chr7:x %", 25_000_000, 60_000_000, layout=spec)
+    assert part.filter(where).count() == rows.filter(region("chr7:x %", 25_000_000, 60_000_000)).count() > 0
+    assert len(part.inputFiles()) < len(read_table(spark, path, spec).inputFiles()) / 10
+    assert folders_of(spark, path, spec, [("nowhere", 0), (None, 0)]) == []
