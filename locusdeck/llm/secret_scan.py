@@ -4,8 +4,9 @@ The patterns give the base spans. The method adds spans of kind ``entropy``: max
 letters, digits and ``+/_=-`` of at least WINDOW characters are candidates. A window of WINDOW
 characters slides over each; its Shannon entropy is kept by incremental counts, as a hex string
 if the window has hex characters only, else as base64. Windows at or above their class's threshold
-that hold both letters and digits are merged to spans. A span is suppressed if it lies in a base
-span, if the part of its candidate that holds it (between ``/`` and ``=``) matches the allow-list, or if one class of characters hardly changes.
+that hold both letters and digits are merged to spans. A span loses the parts (between ``/`` and ``=``) at its ends that match
+the allow-list, and is suppressed if it lies in a base span, if less than a window is left of it, or if one class of characters
+hardly changes.
 
 Spans are ``kind:start:end`` over code points, the end exclusive; a base span is the whole match.
 NULL and empty texts have no spans; repeated rows give repeated rows; an empty table gives no rows; any other columns are
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from math import log2
 
@@ -40,6 +42,7 @@ KINDS = ("assign", "access", "hex", "entropy")
 _LONG_ACCESS = re.compile(r"AKIA[A-Z0-9]{%d,}" % (LEAST_ACCESS - 4))
 _LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % LEAST_HEX)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
+_PART = re.compile(r"[^/=]+")
 _MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])", re.DOTALL)
 
 #: Candidates that are known to be harmless: identifiers in snake or kebab case, paths of words,
@@ -109,11 +112,34 @@ def allowed(candidate: str) -> bool:
     return any(p.fullmatch(candidate) for p in ALLOWED)
 
 
-def _part(run: str, start: int, end: int) -> str:
-    """The stretch between ``/`` and ``=`` that holds a span."""
-    low = max(run.rfind("/", 0, start + 1), run.rfind("=", 0, start + 1)) + 1
-    ends = [at for at in (run.find("/", end - 1), run.find("=", end - 1)) if at >= 0]
-    return run[min(low, start) : min(ends, default=len(run))]
+class _Parts:
+    """The parts of a candidate between ``/`` and ``=``, each held against the allow-list at most once."""
+
+    def __init__(self, run: str):
+        self.run = run
+        self.spans = [m.span() for m in _PART.finditer(run)]
+        self.ends = [end for _, end in self.spans]
+        self.known: dict[int, bool] = {}
+
+    def _harmless(self, k: int) -> bool:
+        if k not in self.known:
+            self.known[k] = allowed(self.run[slice(*self.spans[k])])
+        return self.known[k]
+
+    def trimmed(self, start: int, end: int, window: int = WINDOW) -> tuple[int, int] | None:
+        """The span without the harmless parts at its ends; None if less than a window is left."""
+        first, last = bisect_right(self.ends, start), bisect_left(self.ends, end)
+        last = min(last, len(self.spans) - 1)
+        while last >= 0 and self.spans[last][0] >= end:
+            last -= 1
+        while first <= last and self._harmless(first):
+            first += 1
+        while first <= last and self._harmless(last):
+            last -= 1
+        if first > last:
+            return None
+        start, end = max(start, self.spans[first][0]), min(end, self.spans[last][1])
+        return (start, end) if end - start >= window else None
 
 
 def entropy_spans(text: str, base: list[Span]) -> list[Span]:
@@ -123,12 +149,16 @@ def entropy_spans(text: str, base: list[Span]) -> list[Span]:
         run = m.group()
         if not _MIXED.match(run):
             continue
+        parts = _Parts(run)
         for a, b in hot_windows(run):
-            start, end = a + m.start(), b + m.start()
+            kept = parts.trimmed(a, b)
+            if kept is None:
+                continue
+            start, end = kept[0] + m.start(), kept[1] + m.start()
             while at < len(base) and base[at][0] <= start:
                 reach = max(reach, base[at][2])
                 at += 1
-            if reach < end and not allowed(_part(run, a, b)):
+            if reach < end:
                 found.append((start, 3, end))
     return found
 

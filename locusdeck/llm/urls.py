@@ -3,13 +3,14 @@
 URLs that a rule accepts and URLs that a rule rejects train one smoothed variable-order Markov model
 each: orders 0 to ORDER, Witten-Bell interpolated from the shorter context to the longer. A URL that no
 rule fits is judged by the mean log-likelihood difference of its characters against a threshold,
-which is calibrated on the URLs with a rule: the one with the best balanced accuracy.
+which is calibrated on URLs with a rule that the models have not seen (one in HELD_OUT, by a hash): the one with the best
+balanced accuracy.
 
 Counts of the longest contexts are made once over all URLs; shorter ones are sums of them.
 
 Defined results: a NULL url has empty host and path and is judged as an empty text; without accepted
 or without rejected URLs the threshold is 0; scores at the threshold are allowed; repeated rows
-count as often as they occur; an empty table gives no rows; other columns are ignored.
+count as often as they occur; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from locusdeck.llm.shared import attach, cut, let
 ORDER = 4
 UNIT = 1_000_000
 STEP = 10_000
+#: One url in so many is kept from the models.
+HELD_OUT = 5
 BEGIN, END = "\x02", "\x03"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -153,13 +156,20 @@ def threshold(rated: DataFrame) -> int:
     return at * STEP
 
 
+def held_out(url: Column) -> Column:
+    """Whether a url is kept from the models, to choose the threshold on."""
+    return F.pmod(F.xxhash64(url), F.lit(HELD_OUT)) == 0
+
+
 def judged(pages: DataFrame, rules: Sequence[Rule] = RULES, order: int = ORDER) -> DataFrame:
     """page_id, host, path, rule, verdict and score for every row of ``pages``."""
     rows = ruled(pages, rules)
     each = rows.groupBy(F.coalesce("url", F.lit("")).alias("url")).agg(F.count("*").alias("w"), F.first("verdict").alias("verdict"))
     urls = cut(each.withColumn("id", F.monotonically_increasing_id()))
-    rated = cut(urls.join(scores(urls, order), "id").select("url", "w", "verdict", "score"))
-    bar = threshold(rated)
+    # The models do not know the rules' verdicts on the urls that the threshold is chosen on.
+    known = urls.withColumn("verdict", F.when(~held_out(F.col("url")), F.col("verdict")))
+    rated = cut(urls.join(scores(known, order), "id").select("url", "w", "verdict", "score"))
+    bar = threshold(rated.filter(held_out(F.col("url"))))
     method = F.when(F.col("score") >= bar, "allow").otherwise("block")
     known = rated.select(F.col("url").alias("key"), "w", "score")
     left = rows.withColumn("key", F.coalesce("url", F.lit("")))

@@ -494,6 +494,39 @@ def test_character_models_by_brute_force(spark):
         assert abs(ratio - 1e6 * log(p(context, c, "allow") / p(context, c, "block"))) < 2
 
 
+def test_scores_and_threshold_by_brute_force(spark):
+    rnd = random.Random(15)
+    seen = {"".join(rnd.choice(of) for _ in range(rnd.randrange(0, 9))): v for of, v in (("abc", "allow"), ("bcd", "block"), ("abcd", None)) for _ in range(25)}
+    rows = [(i, u, rnd.randrange(1, 4), v) for i, (u, v) in enumerate(seen.items())]
+    frame = spark.createDataFrame(rows, "id long, url string, w long, verdict string")
+    ratio = {(r["context"], r["char"]): r["ratio"] for r in urls.ratios(frame, 2).collect()}
+    found = {r["id"]: r["score"] for r in urls.scores(frame, 2).collect()}
+    for i, u, _, _ in rows:
+        g = urls.BEGIN * 2 + u + urls.END
+        each = [ratio[g[k - 2 : k], g[k]] for k in range(2, len(g))]
+        assert found[i] == sum(each) // len(each)
+    rated = spark.createDataFrame([(w, v, found[i]) for i, _, w, v in rows], "w long, verdict string, score long")
+    bar = urls.threshold(rated)
+
+    def balanced(bar):
+        share = lambda v, good: sum(w for i, _, w, x in rows if x == v and good(found[i])) / sum(w for *_, w, x in rows if x == v)
+        return share("allow", lambda s: s >= bar) + share("block", lambda s: s < bar)
+
+    assert balanced(bar) == pytest.approx(max(balanced(k * urls.STEP) for k in range(min(found.values()) // urls.STEP, max(found.values()) // urls.STEP + 2)))
+    assert urls.threshold(rated.filter("verdict = 'allow'")) == 0
+
+
+def test_the_models_do_not_know_the_verdicts_they_are_calibrated_on(spark, monkeypatch):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")
+    asked, seen = [], []
+    scores, threshold = urls.scores, urls.threshold
+    monkeypatch.setattr(urls, "scores", lambda u, order: seen.append(u.filter("verdict IS NOT NULL")) or scores(u, order))
+    monkeypatch.setattr(urls, "threshold", lambda r: asked.append(r.filter("verdict IS NOT NULL")) or threshold(r))
+    urls.judged(pages).count()
+    assert asked[0].count() > 0 and seen[0].count() > 2 * asked[0].count()
+    assert asked[0].join(seen[0], "url").count() == 0
+
+
 def test_the_pipeline_runs_and_keeps_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
