@@ -10,7 +10,7 @@ counts per language are corrected for the slots' fill, and the largest decides.
 Defined results: a NULL text or one without a letter is ``und`` with score 0; ties go to the
 language that sorts first; a text of which no trigram is known gets the language with most
 labelled rows and score 0; without any labelled row every text is ``und``; repeated rows count
-as often as they occur; other columns, whatever their names, are not looked at.
+as often as they occur; an empty table gives no rows; other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ Words are cut in front of a space mark and around a line end; no piece crosses s
 memo of bounded size. Decoding is the library's own ``decode``.
 
 Defined results: NULL counts as empty, which has the begin and end ids only; texts are encoded
-whole; repeated rows give repeated rows; other columns are ignored.
+whole; repeated rows give repeated rows; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

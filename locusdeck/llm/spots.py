@@ -7,7 +7,7 @@ alone rule a threshold out is not compared.
 
 Defined results: a NULL text counts as empty; a text without a spot has one signature, of all its words;
 equal texts have equal fingerprints; repeated rows stay, tied ids are ordered by text, rows without
-id come last; a single document is its own next one; other columns are ignored.
+id come last; a single document is its own next one; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ by Spark, and the driver gets, for the sample only, which sentence holds which c
 
 Defined results: a NULL or empty text gets the base rate, as does a text without features; without
 labels of both kinds every score is 0; several labels of a document count as toxic if one is;
-NULL labels and labels of unknown documents are left out; repeated documents give repeated rows.
+NULL labels and labels of unknown documents are left out; repeated documents give repeated rows; an empty table gives
+no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ of the tasks that counted; a second job renames just those to their final names,
 
 Defined results: a NULL payload is empty; rows without ``page_id`` come first; rows that tie on the
 largest id of equal payloads are all responses, as are rows without an id; a NULL url has no target header;
-control characters in a url are percent-encoded; an empty table gives an archive without files.
+control characters in a url are percent-encoded; an empty table gives an archive without files; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -536,9 +536,27 @@ def test_the_pipeline_runs_and_keeps_columns(spark):
     assert 0 < found.count() <= docs.count() and found.select("doc_id").distinct().count() == found.count()
 
 
-def test_every_operator_takes_an_empty_table(spark, docs):
-    empty = docs([]).withColumn("fp", F.lit("clash"))
-    assert queries.op4_secrets and templates.without_recurring(empty).count() == 0
-    assert spots.edited(empty).count() == 0 and simhash.near_duplicates(empty).count() == 0
-    pages = spark.createDataFrame([], "page_id long, url string, html string")
-    assert urls.judged(pages).count() == 0
+def test_every_query_takes_empty_tables(spark, tmp_path, monkeypatch):
+    for name in ("documents", "pages", "benchmark", "labels"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for name, query in queries.QUERIES.items():
+        assert query(spark, str(tmp_path)).count() == 0, name
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_clashing_columns_change_nothing(spark, docs, tmp_path, monkeypatch):
+    """Every query over documents with more columns, named as the operators name their own."""
+    rnd = random.Random(91)
+    names = ["fp", "root", "row", "key", "t", "item", "at", "seed", "n", "score", "group", "_text", "_id", "signs", "rn", "w", "toxic", "held"]
+    plain = docs([(i, prose(rnd, 30) + "\n" + prose(rnd, 12), "en") for i in range(30)] + [(None, None), (3, "x"), (3, "x")])
+    wide = plain.withColumns({c: F.lit(c) for c in names})
+    tables = {n: spark.read.parquet(f"{SF}/{n}.parquet") for n in ("benchmark", "labels")}
+    found = []
+    for frame in (plain, wide):
+        monkeypatch.setattr(queries, "read", lambda spark, sf_dir, name, frame=frame: {**tables, "documents": frame}[name])
+        found.append({})
+        for name, query in queries.QUERIES.items():
+            if name not in ("op2_warc", "op9_url_filter", "op12_packing"):
+                found[-1][name] = Counter(map(repr, query(spark, "").collect()))
+    assert found[0] == found[1]
+    assert all(found[0][n] for n in found[0] if n != "op6_decontamination")
