@@ -316,3 +316,18 @@ def test_a_region_lists_its_folders_only(spark, tmp_path):
     assert part.filter(where).count() == rows.filter(region("chr7:x %", 25_000_000, 60_000_000)).count() > 0
     assert len(part.inputFiles()) < len(read_table(spark, path, spec).inputFiles()) / 10
     assert folders_of(spark, path, spec, [("nowhere", 0), (None, 0)]) == []
+
+
+def test_bloom_filters_skip_row_groups(spark, tmp_path):
+    """A look-up of an absent symbol reads few row groups, as small filters err at times; without them it reads all."""
+    scanned = {}
+    for bloom in (SMALL.bloom, ()):
+        spec, path = replace(SMALL, bloom=bloom), str(tmp_path / f"t{len(bloom)}")
+        layout.write_table(views.variants(spark, SF_DIR), spec, path)
+        # Dictionaries, where columns have them, tell as much; they are left aside here.
+        reader = spark.read.schema(spec.stored_schema).option("parquet.filter.dictionary.enabled", "false")
+        found = reader.parquet(path).filter(F.col("vep_symbol") == "GENE_1x")  # between the least and the largest symbol
+        assert found.collect() == []
+        leaf = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        scanned[bool(bloom)] = leaf.metrics().get("numOutputRows").get().value()
+    assert scanned[False] > 3000 and scanned[True] < scanned[False] / 8, scanned
