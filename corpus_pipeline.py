@@ -48,7 +48,8 @@ STAGES = [
     ("sentencepiece", encode),
 ]
 
-#: SQL has neither the toxicity model nor the tokenizer; tests hold each stage against brute force.
+#: SQL has neither the toxicity model nor the tokenizer. Tests hold templates, groups of near copies, overlaps and ids
+#: against brute force, and run every stage over odd rows.
 ORACLE_SQL = None
 
 
