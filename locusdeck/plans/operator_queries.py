@@ -488,27 +488,30 @@ def ingest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+FANOUT = ["variants", "variants_by_sample", "annotations"]
+
+
+def fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the three tables that one ingestion has written; every run ingests anew."""
+    files, size = _vcf_files(spark, sf_dir, "variant"), _files_per_batch(spark, sf_dir, 2)
+    stored = _ingested(spark, sf_dir, files, FANOUT, "lineitem", size)
+    return merged(
+        [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in stored.items()]
+    )
+
+
 def _fanned_out(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """The three tables that one ingestion has written side by side, and where they lie."""
-    names = ["variants", "variants_by_sample", "annotations"]
+    """The three tables that one ingestion has written side by side, and where they lie; ingested once."""
     files, size = _vcf_files(spark, sf_dir, "variant"), _files_per_batch(spark, sf_dir, 2)
 
     def make(base: str) -> dict[str, str]:
-        return _ingest(spark, sf_dir, files, names, "lineitem", size, base)
+        return _ingest(spark, sf_dir, files, FANOUT, "lineitem", size, base)
 
     targets = once(spark, sf_dir, "fanout", make)
     specs = {name: stored_layout(spark, path, TABLES[name]) for name, path in targets.items()}
     return {name: read_batches(spark, path, specs[name]) for name, path in targets.items()}, targets
 
 
-def fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the three tables that one ingestion has written."""
-    stored, _ = _fanned_out(spark, sf_dir)
-    return merged(
-        [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in stored.items()]
-    )
-
-
 def fanout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows themselves: calls of both variant tables, loci of the annotations."""
     stored, _ = _fanned_out(spark, sf_dir)
