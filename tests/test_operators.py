@@ -11,7 +11,7 @@ from locusdeck.functions.classes import cohort_group, pathogenicity_class
 from locusdeck.functions.predicates import f32, quality, rare
 from locusdeck.operators import dedup, joins, usage
 from locusdeck.operators.carriers import carriers, cohort_carriers, rows_by_annotation
-from locusdeck.plans import views
+from locusdeck.plans import operator_queries, render, views
 
 QUICK = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -277,3 +277,16 @@ def test_usage_range_reaches_the_scan(spark, plan):
 def test_all_hot_keys_are_found(spark):
     rows = spark.range(3000).selectExpr("id % 1500 AS k")
     assert len(joins.hot_keys(rows, ["k"], 2000)) == 1500
+
+
+def test_archives_are_packed_by_as_many_tasks_as_their_lines_ask_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(render, "ROWS_PER_PACKER", 500, raising=False)
+    made, write = [], render.write_archives
+    monkeypatch.setattr(render, "write_archives", lambda df, path: made.append(df.rdd.getNumPartitions()) or write(df, path))
+    (tmp_path / "in").mkdir()
+    for name in ("lineitem", "part"):
+        (tmp_path / "in" / f"{name}.parquet").symlink_to(f"{SF_DIR}/{name}.parquet")
+    source = str(tmp_path / "in")
+    lines = operator_queries.archive_members(spark, source).count()
+    assert lines == views.variants(spark, source).count()
+    assert made == [views.source(spark, source, "lineitem").count() // 500]
