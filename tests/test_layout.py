@@ -334,3 +334,17 @@ def test_bloom_filters_skip_row_groups(spark, tmp_path):
         leaf = found._jdf.queryExecution().executedPlan().collectLeaves().head()
         scanned[bool(bloom)] = leaf.metrics().get("numOutputRows").get().value()
     assert scanned[False] > 3000 and scanned[True] < scanned[False] / 8, scanned
+
+
+def test_a_writing_task_gets_no_more_than_it_can_sort(spark, tmp_path, monkeypatch):
+    for spec in TABLES.values():
+        size = layout.file_sized(spec)["spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+        assert int(size) <= 128 * 1024 * 1024
+    monkeypatch.setattr(layout, "SORTED_BYTES", 60_000)
+    spec = replace(VARIANTS_TABLE, partition_by=(Identity("contig", "contig_part"),))
+    one = views.variants(spark, SF_DIR).withColumn("contig", F.lit("chr1")).repartition(8)
+    path = str(tmp_path / "pieces")
+    layout.write_table(one, spec, path)
+    assert len(glob.glob(f"{path}/contig_part=chr1/*.parquet")) > 1
+    assert rows(read_table(spark, path, spec).select("sample_name", "pos_start", "qual")) == rows(one.select("sample_name", "pos_start", "qual"))
+    assert layout.sort_violations(read_table(spark, path, spec), spec).agg(F.sum("violations")).first()[0] == 0
