@@ -94,6 +94,33 @@ def test_listed_files_are_those_that_spark_lists(spark, tmp_path):
         files.listed(spark, f"{tmp_path}/none")
 
 
+def test_samples_are_counted_before_rows_are_dealt_to_regions(spark, tmp_path, monkeypatch):
+    rows = [record(chrom=f"chr{c}", pos="1") for c in range(1, 6)]
+    paths = [put(tmp_path, f"{s}.vcf.gz", text(s, *rows)) for s in "ABC"]
+    targets = {n: str(tmp_path / n) for n in ("variants", "annotations")}
+    write, seen = ingest.write_table, []
+
+    def watched(df, spec, path, **how):
+        seen.extend(str(column) for column in how["observe"][1])
+        write(df, spec, path, **how)
+
+    monkeypatch.setattr(ingest, "write_table", watched)
+    ingest.write_batch(spark, 1, paths, targets, SPECS)
+    # A writing task has rows of most samples: their names would come to the driver from every task.
+    assert seen and not any("collect_set" in column for column in seen)
+    assert [(r["rows"], r["samples"]) for r in ingest.batch_totals(spark, targets["variants"]).collect()] == [(15, 3)]
+    assert [(r["rows"], r["samples"]) for r in ingest.batch_totals(spark, targets["annotations"]).collect()] == [(5, None)]
+
+
+def test_a_batch_without_rows_is_stored_with_no_samples(spark, tmp_path):
+    path = put(tmp_path, "A.vcf.gz", text("A"))
+    targets = {n: str(tmp_path / n) for n in ("variants", "annotations")}
+    ingest.write_batch(spark, 1, [path], targets, SPECS)
+    assert [(r["rows"], r["samples"]) for r in ingest.batch_totals(spark, targets["variants"]).collect()] == [(0, 0)]
+    ingest.write_batch(spark, 1, [path], {"variants": targets["variants"]}, SPECS)
+    assert [(r["rows"], r["samples"]) for r in ingest.batch_totals(spark, targets["variants"]).collect()] == [(0, 0)]
+
+
 def test_paths_of_a_batch_are_packed_for_the_tasks(spark):
     paths = [f"file:/data/cohort/variants/file=S{i}-0/part-0.txt.gz" for i in range(5000)]
     found = files.dealt_paths(spark, [paths[:3000], paths[3000:]])
